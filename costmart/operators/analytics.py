@@ -332,10 +332,10 @@ def idle_projection(idle: DataFrame, days: int) -> DataFrame:
     )
 
 
-def rightsizing(projected: DataFrame) -> DataFrame:
+def rightsizing(projected: DataFrame, below: Decimal = RIGHTSIZE_BELOW) -> DataFrame:
     """One size down for warehouses of medium size or more that use few credits per active hour."""
     size = X.canonical_size(F.col("warehouse_size"))
-    lightly_used = F.col("avg_credits_per_active_hour") < F.lit(RIGHTSIZE_BELOW)
+    lightly_used = F.col("avg_credits_per_active_hour") < F.lit(below)
     return projected.select(
         "warehouse_name",
         "avg_credits_per_active_hour",

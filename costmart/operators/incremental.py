@@ -134,7 +134,7 @@ def upsert_table(
     to the shared folder first and replace the stored ones from there. Should the job die in between,
     running it again with the same batch gives the same table.
     """
-    if not _exists(spark, path):
+    if not table_stored(spark, path):
         return write_table(latest_per_key(batch, key, newest_first), path, partition_by)
     target = read_table(spark, path, schema)
     if policy == "fail":
@@ -170,7 +170,7 @@ def upsert_table(
     return read_table(spark, path, merged.schema)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_stored(spark: SparkSession, path: str) -> bool:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
@@ -183,6 +183,13 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, values: set) -
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Replace a small unpartitioned table that `df` itself reads: write beside it, then swap."""
+    beside = scratch_path(spark, "replace")
+    df.write.parquet(beside)
+    return write_table(read_table(spark, beside, df.schema), path)
+
+
 # ---- repair of older targets --------------------------------------------------------------------
 
 def backfill(target: DataFrame, sources: tuple[str, ...] = ("end_time", "hour_end", "hour_start")) -> DataFrame:

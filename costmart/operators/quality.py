@@ -124,13 +124,16 @@ def table_diagnostics(tables: dict[str, tuple[DataFrame | None, str]]) -> DataFr
     return _union(parts)
 
 
-def critical_empty(tables: dict[str, DataFrame | None]) -> list[dict[str, str]]:
-    """Tables that must have rows and do not."""
-    return [
-        {"table_name": name, "detail": f"No rows in {name}."}
+def critical_empty(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables that must have rows and do not; each is probed for one row only."""
+    probes = [
+        df.limit(1)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") == 0)
+        .select(F.lit(name).alias("table_name"), F.lit(f"No rows in {name}.").alias("detail"))
         for name, df in tables.items()
-        if df is None or df.isEmpty()
     ]
+    return _union(probes)
 
 
 # ---- suites -------------------------------------------------------------------------------------
