@@ -174,7 +174,7 @@ CTES = {
     "c_eff": f"""
         select usage_date, warehouse_name, compute_credits, compute_cost, cloud_services_cost, total_cost,
                least(idle_cost, compute_cost) as idle_cost,
-               greatest(compute_cost - idle_cost, cast(0 as decimal(28,6))) as productive_cost,
+               cast(greatest(compute_cost - idle_cost, 0) as decimal(28,6)) as productive_cost,
                total_queries, avg_concurrent_users,
                case when total_queries > 0 then {half_up(micro('compute_cost'), 'total_queries * 1000000', 6)} end as cost_per_query,
                cast(case when compute_cost > 0

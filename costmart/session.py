@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture doubles the number of driver round trips while a plan is put together.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
