@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from costmart.config import Config
 from costmart.functions import exprs as X
@@ -131,9 +131,10 @@ def upsert_table(
 
     The touched dates are those of the batch and, unless the key fixes the date, those where the target
     already holds one of its keys (found from two columns of the target). The merged dates are written
-    to the shared folder first and replace the stored ones from there. Should the job die in between,
-    running it again with the same batch gives the same table.
+    to the shared folder and noted beside the table before they replace the stored ones, so a run that
+    dies in the middle of the replacement is finished by the next one. One writer per table.
     """
+    finish_pending(spark, path, partition_by)
     if not table_stored(spark, path):
         return write_table(latest_per_key(batch, key, newest_first), path, partition_by)
     target = read_table(spark, path, schema)
@@ -157,8 +158,29 @@ def upsert_table(
     merged_path = scratch_path(spark, "merged")
     merged.hint("rebalance", partition_by).write.parquet(merged_path)
 
-    stored = read_table(spark, merged_path, merged.schema)
-    emptied = set(dates) - {r[0] for r in stored.select(partition_by).distinct().collect()}
+    note = spark.createDataFrame([(merged_path, [str(d) for d in dates])], PENDING)
+    note.coalesce(1).write.mode("overwrite").json(_note_path(path))
+    finish_pending(spark, path, partition_by)
+    return read_table(spark, path, merged.schema)
+
+
+PENDING = StructType().add("merged_path", "string").add("dates", ArrayType(StringType()))
+
+
+def _note_path(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def finish_pending(spark: SparkSession, path: str, partition_by: str = "usage_date") -> None:
+    """Replace the noted dates of a table by their merged rows; does nothing without a note.
+
+    Repeating it is harmless: the merged rows stay in the shared folder until the note is gone.
+    """
+    note_path = _note_path(path)
+    if not table_stored(spark, f"{note_path}/_SUCCESS"):
+        return
+    note = spark.read.schema(PENDING).json(note_path).first()
+    stored = spark.read.parquet(note.merged_path)
     (
         stored.hint("rebalance", partition_by)
         .write.mode("overwrite")
@@ -166,21 +188,21 @@ def upsert_table(
         .partitionBy(partition_by)
         .parquet(path)
     )
-    _drop_partitions(spark, path, partition_by, emptied)
-    return read_table(spark, path, merged.schema)
+    filled = {str(r[0]) for r in stored.select(partition_by).distinct().collect()}
+    # Dates whose every row moved to another date: dynamic overwrite leaves them in place.
+    for value in set(note.dates) - filled:
+        _delete(spark, f"{path}/{partition_by}={value}")
+    _delete(spark, note_path)
 
 
-def table_stored(spark: SparkSession, path: str) -> bool:
+def _delete(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: set) -> None:
-    """Remove dates whose every row moved to another date (dynamic overwrite leaves them in place)."""
-    jvm = spark.sparkContext._jvm
-    for value in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+def table_stored(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:

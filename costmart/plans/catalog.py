@@ -60,10 +60,10 @@ class Env:
         return stage_table(df, name)
 
     def metering(self):
-        return readers.read_metering(self.inputs.metering(), self.cfg)
+        return readers.read_metering(self.inputs.metering(self.cfg.days_ago(self.cfg.metering_history_days)), self.cfg)
 
     def queries(self):
-        return readers.read_queries(self.inputs.queries(), self.cfg)
+        return readers.read_queries(self.inputs.queries(self.cfg.days_ago(self.cfg.query_history_days)), self.cfg)
 
     def sm(self):
         return ST.stage_metering(self.metering(), self.cfg)

@@ -7,6 +7,7 @@ SQL oracle share these rules; they are listed in FIXTURES.md.
 
 from __future__ import annotations
 
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,11 +43,23 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def metering(self) -> DataFrame:
+    def events(self, since: date | None = None) -> DataFrame:
+        """Events, or those that can matter to inputs that start at `since`, a filter the scan can use.
+
+        A statement starts at or before its event, except for a negative value; a meter hour holds
+        events from its start on.
+        """
+        rows = self.table("events")
+        if since is None:
+            return rows
+        start = F.lit(datetime.combine(since, datetime.min.time())).cast("timestamp_ntz")
+        return rows.where((F.col("ts") >= start) | (F.col("value") < 0))
+
+    def metering(self, since: date | None = None) -> DataFrame:
         hour = X.bucket(F.col("ts"))
         credits = F.round(F.sum(F.col("value").cast("decimal(18,2)")) * F.lit(Decimal("0.01")), 3).cast("decimal(18,3)")
         hours = (
-            self.table("events")
+            self.events(since)
             .groupBy(
                 _warehouse_number().alias("warehouse_id"), _warehouse_name().alias("warehouse_name"), hour.alias("start_time")
             )
@@ -75,11 +88,11 @@ class Inputs:
             F.round(F.col("credits_used") * F.lit(Decimal(3)), 2).cast("decimal(18,2)").alias("total_cost_usd"),
         )
 
-    def queries(self) -> DataFrame:
+    def queries(self, since: date | None = None) -> DataFrame:
         elapsed = (F.col("value").cast("decimal(18,2)") * F.lit(2000)).cast("bigint")
         k = F.get_json_object("props", "$.k").cast("bigint")
         size = F.get(F.array(*[F.lit(s) for s in SIZES]), _warehouse_number().cast("int"))
-        log = self.table("events").select(
+        log = self.events(since).select(
             F.col("event_id").cast("string").alias("query_id"),
             (F.col("ts") - F.make_dt_interval(secs=elapsed.cast("decimal(18,3)") / 1000)).alias("start_time"),
             F.col("ts").alias("end_time"),

@@ -75,6 +75,30 @@ def test_table_merge_rewrites_touched_dates_and_moves_rows(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "usage_date=2024-01-03").glob("*.parquet")} == untouched
 
 
+def test_interrupted_replacement_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    schema = "k string, seq int, usage_date date"
+    path = f"{tmp_path}/t"
+    first = spark.createDataFrame([("a", 1, date(2024, 1, 1)), ("b", 1, date(2024, 1, 1))], schema)
+    I.upsert_table(spark, path, first.schema, first, "k", ["seq"])
+    batch = spark.createDataFrame([("a", 2, date(2024, 1, 1))], schema)
+    finish, calls = I.finish_pending, []
+
+    def die(spark, path, partition_by):
+        calls.append(path)
+        if len(calls) == 2:  # the replacement itself: the old date is gone, the new one not yet there
+            I._delete(spark, f"{path}/usage_date=2024-01-01")
+            raise RuntimeError("lost driver")
+        finish(spark, path, partition_by)
+
+    monkeypatch.setattr(I, "finish_pending", die)
+    with pytest.raises(RuntimeError):
+        I.upsert_table(spark, path, first.schema, batch, "k", ["seq"])
+    monkeypatch.setattr(I, "finish_pending", finish)
+    out = I.upsert_table(spark, path, first.schema, batch, "k", ["seq"])
+    assert rows_of(out, "k", "seq") == [("a", 2), ("b", 1)]
+    assert not (tmp_path / "t.pending").exists()
+
+
 def test_backfill_fills_only_what_is_missing(spark):
     target = spark.createDataFrame(
         [(datetime(2024, 1, 1, 5, 30), None), (datetime(2024, 1, 1, 6, 30), datetime(2024, 1, 1, 1))],
