@@ -12,7 +12,7 @@ from pyspark.sql.window import WindowSpec
 
 from costmart.config import Config
 from costmart.functions import exprs as X
-from costmart.functions.types import schema_of
+from costmart.functions.types import cast_to, schema_of
 
 DAILY_CONTRACT = schema_of(
     usage_date="date",
@@ -41,7 +41,7 @@ def enforce_contract(df: DataFrame, schema: StructType) -> DataFrame:
     missing = {f.name for f in schema.fields} - set(df.columns)
     if missing:
         raise ValueError(f"contract columns missing: {sorted(missing)}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return cast_to(df, schema)
 
 
 def daily_rollup(hourly: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from costmart.config import Config
 from costmart.functions import exprs as X
+from costmart.functions.types import cast_to
 from costmart.operators.ranking import dense_index
 from costmart.sources import schemas
 
@@ -22,9 +23,7 @@ from costmart.sources import schemas
 def load(spark: SparkSession, location: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """Read files (`parquet`, `orc`, `csv` with header, `json`) or a catalog `table`."""
     if fmt == "table":
-        return spark.table(location).select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-        )
+        return cast_to(spark.table(location), schema)
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "FAILFAST")
