@@ -254,6 +254,7 @@ def hourly_costs_incremental(
     """Hourly rows to merge: one mark bounds both inputs before they are aggregated and joined."""
     mark = choose_watermark(target, HOURLY_WATERMARKS)
     top = high_water_mark(target, mark.column, partition_by) if mark else None
-    bound = F.lit(top - mark.lookback if top else EPOCH).cast("timestamp_ntz")
-    since = F.col("usage_hour_ntz") >= bound
+    bound = top - mark.lookback if top else EPOCH
+    # The date is implied by the hour; naming it lets tables laid out by date skip directories.
+    since = (F.col("usage_date") >= F.lit(bound.date())) & (F.col("usage_hour_ntz") >= F.lit(bound).cast("timestamp_ntz"))
     return hourly_costs(staged_metering.where(since), staged_queries.where(since), cfg)

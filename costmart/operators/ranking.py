@@ -19,6 +19,11 @@ def sortable(value: Column, scale: int = 0, nulls: str = "last") -> Column:
     return F.coalesce(exact, F.lit(_NONE_LAST if nulls == "last" else _NONE_FIRST))
 
 
+def largest_group(df: DataFrame, group: str) -> int:
+    """Rows of the largest group, as one number on the driver; 0 for an empty frame."""
+    return df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+
+
 def descending_ranks(df: DataFrame, group: str, value: Column) -> DataFrame:
     """`rank()` within `group` by descending value: one row (group, _value, _rank) per distinct value.
 

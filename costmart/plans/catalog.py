@@ -100,16 +100,15 @@ class Env:
     def sizes(self):
         return WH.dim_warehouse(self.sm(), self.sq())
 
-    def idle(self, days: int = 30):
-        hourly = self.hourly()
-        return A.idle_summary(hourly, self.cfg, days, sizes=WH.latest_size(self.sq()))
+    def idle(self, days: int = 30, hourly: DataFrame | None = None):
+        return A.idle_summary(hourly or self.hourly(), self.cfg, days, sizes=WH.latest_size(self.sq()))
 
-    def projected(self, days: int = 30):
-        # A handful of rows per account, read by the projection and by the sizing.
-        return self.stored(A.idle_projection(self.idle(days), days), "idle")
+    def projected(self, days: int = 30, hourly: DataFrame | None = None):
+        # One row per warehouse, read by the projection and by the sizing.
+        return self.stored(A.idle_projection(self.idle(days, hourly), days), "idle")
 
-    def estimates(self):
-        projected = self.projected()
+    def estimates(self, hourly: DataFrame | None = None):
+        projected = self.projected(hourly=hourly)
         return A.idle_estimates(projected, A.rightsizing(projected))
 
 
@@ -375,9 +374,10 @@ query("j12_ranked_budget", _RANKED_DEPT.format(n=15))(
 
 
 def _insights(e: Env) -> DataFrame:
-    daily = e.stored(e.daily(), "daily")
+    hourly = e.stored(e.hourly(), "hourly")
+    daily = e.stored(D.daily_costs(hourly, e.cfg), "daily")
     departments = DEP.cost_by_department(daily, e.inputs.department_map())
-    return A.insights(daily, departments, e.inputs.budget(), e.estimates(), e.cfg, 30)
+    return A.insights(daily, departments, e.inputs.budget(), e.estimates(hourly), e.cfg, 30)
 
 
 query("j13_spend_idle", "select name, window_spend_usd, idle_usd_month_est, idle_share_pct from c_insights where scope = 'warehouse'")(
@@ -881,6 +881,8 @@ query("m04_total_cost_summary_base", "select * from c_sum2")(lambda e: SUM.total
 query("m05_fct_cost_forecast", "select * from c_fc")(lambda e: FC.cost_forecast(e.daily(), e.cfg))
 query("m06_int_top_spenders", "select * from c_base")(lambda e: e.base())
 query("m07_fct_top_spenders", "select * from c_ranked")(lambda e: SP.top_spenders(e.base()))
+# The same mart by the way taken when a day has more users than one task should rank.
+query("m07_top_spenders_large_days", "select * from c_ranked")(lambda e: SP.top_spenders(e.base(), window_rows=0))
 query("m08_fct_cost_by_department", "select * from c_dept")(lambda e: e.dept())
 query("m09_fct_budget_vs_actual", "select * from c_bva")(lambda e: e.bva())
 query("m10_dim_warehouse", "select * from c_dimw")(lambda e: e.sizes())
@@ -927,15 +929,25 @@ query(
         from (select cast(max(usage_date) as timestamp) as latest, {_AGE.format('cast(max(usage_date) as timestamp)')} as age_hours from c_daily)""",
 )(lambda e: Q.mart_freshness(e.daily(), NOW))
 query("q11_table_diagnostics", _DIAGNOSTICS)(_diagnostics)
-query("q12_critical_empty", "select 'future_costs' as table_name, 'No rows in future_costs.' as detail")(
-    lambda e: Q.critical_empty(
+
+
+@query(
+    "q12_critical_empty",
+    f"""select 'future_costs' as table_name, 'No rows in future_costs.' as detail
+        where not exists (select 1 from c_daily where usage_date > {ASOF} + 1)
+        union all select 'fct_daily_costs', 'No rows in fct_daily_costs.' where not exists (select 1 from c_daily)""",
+)
+def _(e: Env) -> DataFrame:
+    daily = e.stored(e.daily(), "daily")
+    return Q.critical_empty(
         {
-            "fct_daily_costs": e.daily(),
-            "fct_cost_by_department": e.dept(),
-            "future_costs": e.daily().where(F.col("usage_date") > F.lit(date(2024, 2, 1))),
+            "fct_daily_costs": daily,
+            "fct_cost_by_department": DEP.cost_by_department(daily, e.inputs.department_map()),
+            "future_costs": daily.where(F.col("usage_date") > F.lit(date(2024, 2, 1))),
         }
     )
-)
+
+
 
 
 @query(

@@ -45,12 +45,25 @@ def test_positions_equal_dense_rank(spark):
     assert found == {n: i for i, n in enumerate(sorted({n for n in names if n}), 1)}
 
 
-def test_ranking_never_windows_over_a_whole_day(spark, tables):
-    plan = plan_of(spenders.top_spenders(tables["int_top_spenders"]))
+def test_large_days_are_never_windowed_whole(spark, tables):
+    plan = plan_of(spenders.top_spenders(tables["int_top_spenders"], window_rows=0))
     assert "rank(" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_small_days_share_one_exchange(spark, tables):
+    plan = plan_of(spenders.top_spenders(tables["int_top_spenders"]))
+    assert plan.count("Exchange hashpartitioning(usage_date") == 1 and plan.count("Exchange ") == 2
+    assert "Join" not in plan
+
+
+def test_both_ways_of_ranking_agree(spark, tables):
+    small = spenders.top_spenders(tables["int_top_spenders"])
+    large = spenders.top_spenders(tables["int_top_spenders"], window_rows=0)
+    assert small.schema.simpleString() == large.schema.simpleString()
+    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+
+
 def test_copies_of_one_key_are_reduced_before_the_shuffle(spark):
     frame = spark.createDataFrame([("k", i) for i in range(100)], "key string, seq int").repartition(4)
     plan = plan_of(incremental.latest_per_key(frame, "key", ["seq"]))
