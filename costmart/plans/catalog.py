@@ -12,7 +12,6 @@ from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from costmart.config import Config
@@ -33,7 +32,7 @@ from costmart.operators import warehouses as WH
 from costmart.plans import marts
 from costmart.plans.oracle import ASOF, LABEL_CREDITS, UNASSIGNED, half_up, key, micro, nudge, pct, usd, with_ctes
 from costmart.session import scratch_path, stage_table
-from costmart.sources import readers, schemas, writers
+from costmart.sources import readers, writers
 from costmart.sources.adapter import Inputs
 
 AS_OF = date(2024, 1, 31)
@@ -1021,13 +1020,13 @@ query(
 )(
     lambda e: A.month_projection(
         (daily := e.stored(e.daily(), "daily")),
-        A_forecast_of_another_run(daily, e),
+        _forecast_of_another_run(daily, e),
         e.cfg,
     )
 )
 
 
-def A_forecast_of_another_run(daily: DataFrame, e: Env) -> DataFrame:
+def _forecast_of_another_run(daily: DataFrame, e: Env) -> DataFrame:
     """A forecast made on another day does not count."""
     return FC.cost_forecast(daily, Config(as_of=date(2024, 1, 19)))
 
