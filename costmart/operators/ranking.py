@@ -24,8 +24,13 @@ def largest_group(df: DataFrame, group: str) -> int:
     return df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
 
 
+def _group_text(group: str) -> Column:
+    """The group as text, so that rows without a group form one and find their rank again."""
+    return F.coalesce(F.col(group).cast("string"), F.lit(""))
+
+
 def descending_ranks(df: DataFrame, group: str, value: Column) -> DataFrame:
-    """`rank()` within `group` by descending value: one row (group, _value, _rank) per distinct value.
+    """`rank()` within `group` by descending value: one row (_group, _value, _rank) per distinct value.
 
     No step sorts a whole group:
 
@@ -36,22 +41,22 @@ def descending_ranks(df: DataFrame, group: str, value: Column) -> DataFrame:
        a group total above k**2 / 2 * 2**20, so a total of 10**15 allows some 45,000.
     """
     counts = (
-        df.groupBy(group, value.alias("_value"))
+        df.groupBy(_group_text(group).alias("_group"), value.alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_high", F.shiftright("_value", LOW_BITS))
     )
-    low = W.partitionBy(group, "_high").orderBy(F.desc("_value")).rowsBetween(W.unboundedPreceding, -1)
+    low = W.partitionBy("_group", "_high").orderBy(F.desc("_value")).rowsBetween(W.unboundedPreceding, -1)
     within = counts.withColumn("_ahead_low", F.coalesce(F.sum("_n").over(low), F.lit(0)))
 
-    top = W.partitionBy(group).orderBy(F.desc("_high")).rowsBetween(W.unboundedPreceding, -1)
+    top = W.partitionBy("_group").orderBy(F.desc("_high")).rowsBetween(W.unboundedPreceding, -1)
     digits = (
-        counts.groupBy(group, "_high")
+        counts.groupBy("_group", "_high")
         .agg(F.sum("_n").alias("_n_high"))
         .withColumn("_ahead_high", F.coalesce(F.sum("_n_high").over(top), F.lit(0)))
         .drop("_n_high")
     )
-    return within.join(digits, [group, "_high"]).select(
-        group, "_value", (F.col("_ahead_low") + F.col("_ahead_high") + 1).alias("_rank")
+    return within.join(digits, ["_group", "_high"]).select(
+        "_group", "_value", (F.col("_ahead_low") + F.col("_ahead_high") + 1).alias("_rank")
     )
 
 
@@ -59,10 +64,10 @@ def add_rank(df: DataFrame, ranks: DataFrame, group: str, value: Column, alias:
     """Join ranks back on the value. A value shared by very many rows is a hot key on the left side
     only (the ranks are unique per value), which adaptive execution splits or broadcasts away."""
     return (
-        df.withColumn("_value", value)
-        .join(ranks, [group, "_value"], "left")
+        df.withColumns({"_group": _group_text(group), "_value": value})
+        .join(ranks, ["_group", "_value"], "left")
         .withColumnRenamed("_rank", alias)
-        .drop("_value")
+        .drop("_group", "_value")
     )
 
 

@@ -127,10 +127,10 @@ def top_spenders(base: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
         )
     else:
         # One row per calendar date: a join side whose size is set by the calendar, not by the data.
-        totals = spenders.groupBy("usage_date").agg(
+        totals = spenders.groupBy(F.col("usage_date").alias("_day")).agg(
             day_queries.alias("_day_queries"), day_cost.cast(COST).alias("_day_cost")
         )
-        ranked = rolling.join(F.broadcast(totals), "usage_date", "left")
+        ranked = rolling.join(F.broadcast(totals), F.col("usage_date").eqNullSafe(F.col("_day")), "left")
         for alias, value in ranked_by.items():
             ranked = add_rank(ranked, descending_ranks(spenders, "usage_date", value), "usage_date", value, alias)
     hundred = F.lit(Decimal(100))
