@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costmart.session import stage_table
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors unless their Python finds it by the path they inherit."""
+    root = Path(__file__).resolve().parents[2]
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(root) in {os.path.realpath(p) for p in known if p} or getattr(spark, "_costmart_shipped", False):
+        return
+    target = Path(tempfile.mkdtemp(prefix="costmart-code-")) / "costmart.zip"
+    with zipfile.ZipFile(target, "w") as packed:
+        for file in sorted((root / "costmart").rglob("*.py")):
+            packed.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(target))
+    spark._costmart_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costmart.llm import sharding
+from costmart.llm import sharding, warc
+from costmart.llm.frames import ship_package
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_warc_revisits": _shipped(warc.query),
     "op8_jump_shards": sharding.query,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_warc_revisits": warc.ORACLE,
     "op8_jump_shards": sharding.ORACLE,
 }
