@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costmart.llm import quality, sharding, simhash, warc
+from costmart.llm import packing, quality, sharding, simhash, warc
 from costmart.llm.frames import ship_package
 
 
@@ -20,6 +20,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_bk": _shipped(simhash.query),
+    "op2_nnls_packing": _shipped(packing.query),
     "op5_warc_revisits": _shipped(warc.query),
     "op6_certified_rules": _shipped(quality.query),
     "op8_jump_shards": sharding.query,
