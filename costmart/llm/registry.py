@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costmart.llm import packing, quality, sharding, simhash, toxicity, warc
+from costmart.llm import ann, licenses, packing, quality, sharding, simhash, toxicity, warc
 from costmart.llm.frames import ship_package
 
 
@@ -21,10 +21,12 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_bk": _shipped(simhash.query),
     "op2_nnls_packing": _shipped(packing.query),
+    "op3_license_scan": _shipped(licenses.query),
     "op4_crf_toxicity": _shipped(toxicity.query),
     "op5_warc_revisits": _shipped(warc.query),
     "op6_certified_rules": _shipped(quality.query),
     "op8_jump_shards": sharding.query,
+    "op9_collision_ann": _shipped(ann.query),
 }
 
 ORACLES: dict[str, str] = {
