@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costmart.llm import ann, licenses, packing, quality, sharding, simhash, toxicity, warc
+from costmart.llm import ann, bpe, licenses, packing, quality, sharding, simhash, toxicity, warc
 from costmart.llm.frames import ship_package
 
 
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_crf_toxicity": _shipped(toxicity.query),
     "op5_warc_revisits": _shipped(warc.query),
     "op6_certified_rules": _shipped(quality.query),
+    "op7_streaming_bpe": _shipped(bpe.query),
     "op8_jump_shards": sharding.query,
     "op9_collision_ann": _shipped(ann.query),
 }
