@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 # Pieces that each of the two generations of a worker's cache keeps.
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 19
 _LONGEST = 64
 
 _PIECE = re.compile("[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
