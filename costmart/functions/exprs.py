@@ -199,13 +199,16 @@ def exact_div(num: Column, den: Column, k: int, scale: int | None = None) -> Col
     """num / den rounded half up to k decimals, exactly; NULL for a zero or missing divisor.
 
     Both arguments are integers or decimals with at most six decimals. `scale` widens the result type
-    beyond k decimals where a contract asks for it.
+    beyond k decimals where a contract asks for it. `div` yields a bigint, so quotients near its range go
+    another way: what is left by the remainder divides without a rest. Beyond 38 digits Spark raises.
     """
     divisor = F.nullif(den, F.lit(0).cast("decimal(1,0)"))
-    doubled = F.abs(num) * F.lit(Decimal(2 * 10**k))
-    magnitude = F.call_function(
-        "div", doubled + F.abs(divisor), F.abs(divisor) * F.lit(Decimal(2))
-    ).cast("decimal(19,0)")
+    top = F.abs(num) * F.lit(Decimal(2 * 10**k)) + F.abs(divisor)
+    bottom = F.abs(divisor) * F.lit(Decimal(2))
+    # With these precisions the product below keeps its k decimals.
+    usual = F.call_function("div", top, bottom).cast("decimal(19,0)")
+    large = ((top - top % bottom) / bottom).cast(f"decimal({37 - k},0)")
+    magnitude = F.when(top.cast("double") < bottom.cast("double") * F.lit(2.0**62), usual).otherwise(large)
     signed = F.when((num < 0) == (divisor < 0), magnitude).otherwise(-magnitude)
     return (signed * F.lit(Decimal(1).scaleb(-k))).cast(f"decimal(38,{scale or k})")
 

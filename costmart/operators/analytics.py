@@ -129,16 +129,25 @@ def month_projection(daily: DataFrame, forecast: DataFrame, cfg: Config) -> Data
     )
 
 
-def budget_variance(department_costs: DataFrame, budget: DataFrame, cfg: Config) -> DataFrame:
-    """Month-to-date budget and actual cost, their difference and how it reads."""
-    actual = department_costs.where(_in_month(cfg)).select(
-        F.col("total_cost_usd").cast(COST).alias("actual"), F.lit(None).cast(COST).alias("planned")
-    )
-    planned = budget.where(_in_month(cfg, "date")).select(
-        F.lit(None).cast(COST).alias("actual"), F.col("budget_usd").cast(COST).alias("planned")
-    )
-    sums = actual.unionByName(planned).agg(
-        _usd(F.sum("planned")).alias("budget_mtd"), _usd(F.coalesce(F.sum("actual"), _zero())).alias("actual_mtd")
+def budget_variance(department_costs: DataFrame, budget: DataFrame, cfg: Config, daily: DataFrame | None = None) -> DataFrame:
+    """Month-to-date budget and actual cost, their difference and how it reads.
+
+    Without department rows this month the daily mart's total is the actual cost. A budget that has rows,
+    but none for this month, is zero; without any row there is none.
+    """
+    nothing = F.lit(None).cast(COST)
+
+    def part(df: DataFrame, **values) -> DataFrame:
+        return df.select(*[values.get(c, nothing).alias(c) for c in ("actual", "total", "planned")])
+
+    rows = part(department_costs.where(_in_month(cfg)), actual=F.coalesce(F.col("total_cost_usd").cast(COST), _zero()))
+    month = F.when(_in_month(cfg, "date"), F.col("budget_usd").cast(COST)).otherwise(_zero())
+    rows = rows.unionByName(part(budget, planned=F.coalesce(month, _zero())))
+    if daily is not None:
+        rows = rows.unionByName(part(daily.where(_in_month(cfg)), total=F.col("total_cost").cast(COST)))
+    sums = rows.agg(
+        _usd(F.sum("planned")).alias("budget_mtd"),
+        _usd(F.coalesce(F.sum("actual"), F.sum("total"), _zero())).alias("actual_mtd"),
     )
     variance = F.col("variance_usd")
     return (

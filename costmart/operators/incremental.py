@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -14,7 +18,7 @@ from costmart.config import Config
 from costmart.functions import exprs as X
 from costmart.operators.hourly import hourly_costs
 from costmart.session import scratch_path
-from costmart.sources.writers import read_table, write_table
+from costmart.sources.writers import laid_out, read_table, write_table
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -103,96 +107,145 @@ def sync_schema(target: DataFrame, batch: DataFrame, policy: str = "sync") -> tu
 # ---- merge --------------------------------------------------------------------------------------
 
 def latest_per_key(batch: DataFrame, key: str, newest_first: list[str]) -> DataFrame:
-    """One row per key. The rank limit is applied before the shuffle too, so each task sends at most
-    one of the copies it holds, however many there are."""
-    newest = W.partitionBy(key).orderBy(*[F.desc(c) for c in newest_first])
-    return batch.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") == 1).drop("_n")
+    """One row per key; rows without a key stay as they are. The rank limit is applied before the
+    shuffle too, so each task sends at most one of the copies it holds, however many there are."""
+    loose = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    newest = W.partitionBy(key, "_loose").orderBy(*[F.desc(c) for c in newest_first])
+    ranked = batch.withColumn("_loose", loose).withColumn("_n", F.row_number().over(newest))
+    return ranked.where(F.col("_n") == 1).drop("_n", "_loose")
+
+
+def _content(key: str, columns: list[str]) -> Column:
+    """What tells rows without a key apart: all they hold but the load stamp. NULL where there is a key."""
+    told = sorted(c for c in columns if c not in (key, "_loaded_at"))
+    return F.when(F.col(key).isNull(), F.sha2(F.to_json(F.struct(*told)), 256))
+
+
+def not_replaced(target: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """Target rows that the batch does not bring again: by key, or by content where there is no key.
+
+    A batch repeats the lookback hours, so rows without a key come again as well; matched by content,
+    they are kept as often as the batch has them, which is what one full build holds.
+    """
+    shared = [c for c in target.columns if c in set(fresh.columns)]
+    gone = fresh.select(F.col(key).alias("_key"), _content(key, shared).alias("_gone")).distinct()
+    kept = target.withColumn("_content", _content(key, shared))
+    same = kept[key].eqNullSafe(gone["_key"]) & kept["_content"].eqNullSafe(gone["_gone"])
+    return kept.join(gone, same, "left_anti").drop("_content")
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, newest_first: list[str]) -> DataFrame:
-    """Target rows whose key is not in the batch, plus the newest batch row per key."""
+    """Target rows that the batch does not replace, plus the newest batch row per key."""
     fresh = latest_per_key(batch, key, newest_first)
-    kept, fresh = sync_schema(target, fresh)
-    return kept.join(fresh.select(key), key, "left_anti").unionByName(fresh)
+    kept, fresh = sync_schema(not_replaced(target, fresh, key), fresh)
+    return kept.unionByName(fresh)
+
+
+def stored_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table under its own schema: the union of its files' columns, whatever a batch holds."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _on(partition_by: str, dates: list) -> Column:
+    """Rows of the given dates, None among them meaning rows without a date."""
+    known = [d for d in dates if d is not None]
+    wanted = F.col(partition_by).isin(known) if known else F.lit(False)
+    return wanted | F.col(partition_by).isNull() if None in dates else wanted
 
 
 def upsert_table(
     spark: SparkSession,
     path: str,
-    schema: StructType,
     batch: DataFrame,
     key: str,
     newest_first: list[str],
     partition_by: str = "usage_date",
     key_implies_partition: bool = False,
     policy: str = "sync",
+    sort_by: str | None = None,
 ) -> DataFrame:
     """Merge a batch into a table stored by date, rewriting only the dates it touches.
 
     The touched dates are those of the batch and, unless the key fixes the date, those where the target
-    already holds one of its keys (found from two columns of the target). The merged dates are written
-    to the shared folder and noted beside the table before they replace the stored ones, so a run that
-    dies in the middle of the replacement is finished by the next one. One writer per table.
+    already holds one of its keys (found from two columns of the target). Rows without a date are a date
+    of their own. Merged rows are written once, beside the table and in its layout, and moved into place.
+    The target is read under its own schema, so a changed batch is seen: `fail` raises, `sync` keeps
+    the columns of both. One writer per table.
     """
-    finish_pending(spark, path, partition_by)
+    finish_pending(spark, path)
     if not table_stored(spark, path):
-        return write_table(latest_per_key(batch, key, newest_first), path, partition_by)
-    target = read_table(spark, path, schema)
-    if policy == "fail":
-        sync_schema(target, batch, "fail")
+        return write_table(latest_per_key(batch, key, newest_first), path, partition_by, sort_by)
+    target = stored_table(spark, path)
+    sync_schema(target, batch, policy)
     # Staged once: the batch is read for the dates, the keys and the rows.
     batch_path = scratch_path(spark, "batch")
     latest_per_key(batch, key, newest_first).write.parquet(batch_path)
     fresh = read_table(spark, batch_path, batch.schema)
     touched = fresh.select(partition_by)
     if not key_implies_partition:
-        held = target.select(key, partition_by).join(fresh.select(key), key, "left_semi")
-        touched = touched.unionByName(held.select(partition_by))
+        keys = fresh.select(key).where(F.col(key).isNotNull())
+        touched = touched.unionByName(target.select(key, partition_by).join(keys, key, "left_semi").select(partition_by))
     # At most one value per calendar date.
     dates = [r[0] for r in touched.distinct().collect()]
     if not dates:
         return target
-    kept = target.where(F.col(partition_by).isin(dates))
-    kept, fresh = sync_schema(kept, fresh)
-    merged = kept.join(fresh.select(key), key, "left_anti").unionByName(fresh)
-    merged_path = scratch_path(spark, "merged")
-    merged.hint("rebalance", partition_by).write.parquet(merged_path)
-
-    note = spark.createDataFrame([(merged_path, [str(d) for d in dates])], PENDING)
-    note.coalesce(1).write.mode("overwrite").json(_note_path(path))
-    finish_pending(spark, path, partition_by)
-    return read_table(spark, path, merged.schema)
+    kept, fresh = sync_schema(not_replaced(target.where(_on(partition_by, dates)), fresh, key), fresh)
+    replace_dates(spark, path, kept.unionByName(fresh), dates, partition_by, sort_by)
+    return stored_table(spark, path)
 
 
 PENDING = StructType().add("merged_path", "string").add("dates", ArrayType(StringType()))
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # the directory of rows without a partition value
+
+
+def replace_dates(spark: SparkSession, path: str, merged: DataFrame, dates: list, partition_by: str, sort_by: str | None) -> None:
+    """Put `merged` in the place of the given dates of a table.
+
+    It is written beside the table and noted before anything of the table changes, so a run that dies in
+    the middle of the replacement is finished by the next one.
+    """
+    merged_path = f"{path.rstrip('/')}.merged-{uuid.uuid4().hex}"
+    laid_out(merged, partition_by, sort_by).write.partitionBy(partition_by).parquet(merged_path)
+    folders = [f"{partition_by}={_NO_DATE if d is None else d}" for d in dates]
+    note = spark.createDataFrame([(merged_path, folders)], PENDING)
+    note.coalesce(1).write.mode("overwrite").json(_note_path(path))
+    finish_pending(spark, path)
 
 
 def _note_path(path: str) -> str:
     return f"{path.rstrip('/')}.pending"
 
 
-def finish_pending(spark: SparkSession, path: str, partition_by: str = "usage_date") -> None:
-    """Replace the noted dates of a table by their merged rows; does nothing without a note.
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Move the noted folders of merged rows into a table; does nothing without a note.
 
-    Repeating it is harmless: the merged rows stay in the shared folder until the note is gone.
+    A noted folder without merged rows has lost all its rows to other dates. Folders that an earlier try
+    has moved are told from those by a list that is made before the first move.
     """
     note_path = _note_path(path)
     if not table_stored(spark, f"{note_path}/_SUCCESS"):
         return
     note = spark.read.schema(PENDING).json(note_path).first()
-    stored = spark.read.parquet(note.merged_path)
-    (
-        stored.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    filled = {str(r[0]) for r in stored.select(partition_by).distinct().collect()}
-    # Dates whose every row moved to another date: dynamic overwrite leaves them in place.
-    for value in set(note.dates) - filled:
-        _delete(spark, f"{path}/{partition_by}={value}")
+    listed = f"{note_path}/filled"
+    if not table_stored(spark, f"{listed}/_SUCCESS"):
+        filled = [f for f in note.dates if table_stored(spark, f"{note.merged_path}/{f}")]
+        spark.createDataFrame([(f,) for f in filled], "folder string").coalesce(1).write.mode("overwrite").text(listed)
+    filled = {r[0] for r in spark.read.text(listed).collect()}
+    for folder in note.dates:
+        if folder not in filled:
+            _delete(spark, f"{path}/{folder}")
+        elif table_stored(spark, f"{note.merged_path}/{folder}"):
+            _delete(spark, f"{path}/{folder}")
+            _move(spark, f"{note.merged_path}/{folder}", f"{path}/{folder}")
     _delete(spark, note_path)
+    _delete(spark, note.merged_path)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.rename(hadoop(source), hadoop(target)):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -214,6 +267,33 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 # ---- repair of older targets --------------------------------------------------------------------
 
+def repair_table(
+    spark: SparkSession,
+    path: str,
+    fix: Callable[[DataFrame], DataFrame],
+    columns: list[str],
+    partition_by: str = "usage_date",
+    sort_by: str | None = None,
+) -> None:
+    """Add missing columns to a stored table and fill their NULLs by `fix`, where it can.
+
+    Only dates with a row that `fix` fills are rewritten, so a repaired table is left alone.
+    """
+    finish_pending(spark, path)
+    target = stored_table(spark, path)
+    types = {"usage_hour_ntz": "timestamp_ntz"}
+    for column in columns:
+        if column not in target.columns:
+            target = target.withColumn(column, F.lit(None).cast(types.get(column, "bigint")))
+    lacking = reduce(or_, [F.col(c).isNull() for c in columns])
+    was = {f"_was_{c}": F.col(c).isNull() for c in columns}
+    filled = reduce(or_, [F.col(f"_was_{c}") & F.col(c).isNotNull() for c in columns])
+    before = target.where(lacking).withColumns(was).withColumn("_old_date", F.col(partition_by))
+    found = fix(before).where(filled).select(F.explode(F.array("_old_date", partition_by))).distinct().collect()
+    if dates := [r[0] for r in found]:  # at most one per calendar date
+        replace_dates(spark, path, fix(target.where(_on(partition_by, dates))), dates, partition_by, sort_by)
+
+
 def backfill(target: DataFrame, sources: tuple[str, ...] = ("end_time", "hour_end", "hour_start")) -> DataFrame:
     """Fill missing hour and date buckets from the first time column the target has."""
     present = set(target.columns)

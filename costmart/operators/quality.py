@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,8 +57,9 @@ def relationship(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
     return child.where(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
-def idle_within_compute(daily: DataFrame) -> DataFrame:
-    return daily.where(F.col("idle_cost") > F.col("compute_cost")).select(
+def idle_within_compute(daily: DataFrame, share: Decimal = Decimal(1)) -> DataFrame:
+    """Rows whose idle cost exceeds its share of compute; run it on figures that nothing has capped."""
+    return daily.where(F.col("idle_cost") > F.col("compute_cost") * F.lit(share)).select(
         "usage_date", "warehouse_name", "compute_cost", "idle_cost"
     )
 
@@ -70,6 +72,16 @@ def contract_differences(df: DataFrame, schema: StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string")
 
 
+def contract_misfits(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns that differ from the contract, with the number of stored values that its type can't hold."""
+    differing = contract_differences(df, schema)
+    shared = [f for f in schema.fields if f.name in df.columns]
+    lost = [F.count(F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), 1)) for f in shared]
+    counted = df.agg(*[n.alias(f"c{i}") for i, n in enumerate(lost)])
+    pairs = [F.struct(F.lit(f.name).alias("column"), F.col(f"c{i}").alias("misfits")) for i, f in enumerate(shared)]
+    return differing.join(counted.select(F.explode(F.array(*pairs)).alias("c")).select("c.*"), "column", "left")
+
+
 def matches_contract(df: DataFrame, schema: StructType) -> bool:
     return [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
 

@@ -19,12 +19,7 @@ def sortable(value: Column, scale: int = 0, nulls: str = "last") -> Column:
     return F.coalesce(exact, F.lit(_NONE_LAST if nulls == "last" else _NONE_FIRST))
 
 
-def largest_group(df: DataFrame, group: str) -> int:
-    """Rows of the largest group, as one number on the driver; 0 for an empty frame."""
-    return df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-
-
-def _group_text(group: str) -> Column:
+def group_text(group: str) -> Column:
     """The group as text, so that rows without a group form one and find their rank again."""
     return F.coalesce(F.col(group).cast("string"), F.lit(""))
 
@@ -41,7 +36,7 @@ def descending_ranks(df: DataFrame, group: str, value: Column) -> DataFrame:
        a group total above k**2 / 2 * 2**20, so a total of 10**15 allows some 45,000.
     """
     counts = (
-        df.groupBy(_group_text(group).alias("_group"), value.alias("_value"))
+        df.groupBy(group_text(group).alias("_group"), value.alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_high", F.shiftright("_value", LOW_BITS))
     )
@@ -64,7 +59,7 @@ def add_rank(df: DataFrame, ranks: DataFrame, group: str, value: Column, alias:
     """Join ranks back on the value. A value shared by very many rows is a hot key on the left side
     only (the ranks are unique per value), which adaptive execution splits or broadcasts away."""
     return (
-        df.withColumns({"_group": _group_text(group), "_value": value})
+        df.withColumns({"_group": group_text(group), "_value": value})
         .join(ranks, ["_group", "_value"], "left")
         .withColumnRenamed("_rank", alias)
         .drop("_group", "_value")

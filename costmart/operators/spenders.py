@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from costmart.functions import exprs as X
 from costmart.operators.hourly import seconds
-from costmart.operators.ranking import add_rank, descending_ranks, largest_group, sortable
+from costmart.operators.ranking import add_rank, descending_ranks, group_text, sortable
 from costmart.operators.staging import BYTES_PER_GB
 from costmart.session import stage_table
 
 BASE_KEY = ["usage_date", "user_name", "role_name", "database_name", "warehouse_name"]
 USER_DAY = ["usage_date", "user_name"]
 COST = "decimal(38,6)"
-# User rows of one day that a single task may rank: about 150 MB.
-WINDOW_ROWS = 2**20
 
 
 def top_spenders_base(staged_queries: DataFrame, attribution: DataFrame | None = None) -> DataFrame:
@@ -97,15 +95,14 @@ def spenders_daily(base: DataFrame) -> DataFrame:
     )
 
 
-def top_spenders(base: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def top_spenders(base: DataFrame) -> DataFrame:
     """Ranks within the day, shares of the day and a 7-row rolling cost per user.
 
-    A day may hold any number of users, so its size is measured before it is given to one task. Days of
-    up to `window_rows` users are ranked by windows, on one exchange for all three ranks and both
-    shares. If any day is larger, ranks come from value counts and day totals from an aggregation, and
-    nothing sorts or buffers a whole day. Both ways give the same rows.
+    A day may hold any number of users, so nothing sorts or buffers one. The three measures become rows
+    (day and measure, value), whose distinct values are counted and ranked together; each rank comes back
+    by a join on its value, and day totals by an aggregation. Ties and NULLs included, this is exact.
 
-    The user-day rows are stored first: they are measured, then read by column by each branch.
+    The user-day rows are stored first, and so are the ranks: both are read by several branches.
     """
     spenders = stage_table(spenders_daily(base), "spenders")
     ranked_by = {
@@ -113,26 +110,24 @@ def top_spenders(base: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
         "rank_by_runtime": sortable(F.col("total_runtime_seconds"), 3, nulls="first"),
         "rank_by_cost": sortable(F.col("estimated_cost_usd"), 6),
     }
-    day_queries, day_cost = F.sum("query_count"), F.sum("estimated_cost_usd")
+
+    def of(alias: str):
+        return F.concat(F.lit(f"{alias}|"), group_text("usage_date"))
+
+    measures = F.explode(F.array(*[F.struct(of(a).alias("day"), v.alias("value")) for a, v in ranked_by.items()]))
+    ranks = stage_table(
+        descending_ranks(spenders.select(measures.alias("m")).select("m.*"), "day", F.col("value")), "spender-ranks"
+    )
     # One row per user and calendar day.
     last_7 = W.partitionBy("user_name").orderBy("usage_date").rowsBetween(-6, 0)
     rolling = spenders.withColumn("rolling_7d_cost_usd", F.sum("estimated_cost_usd").over(last_7).cast(COST))
-    if largest_group(spenders, "usage_date") <= window_rows:
-        day = W.partitionBy("usage_date")
-        ranked = rolling.select(
-            "*",
-            day_queries.over(day).alias("_day_queries"),
-            day_cost.over(day).cast(COST).alias("_day_cost"),
-            *[F.rank().over(day.orderBy(value.desc())).alias(alias) for alias, value in ranked_by.items()],
-        )
-    else:
-        # One row per calendar date: a join side whose size is set by the calendar, not by the data.
-        totals = spenders.groupBy(F.col("usage_date").alias("_day")).agg(
-            day_queries.alias("_day_queries"), day_cost.cast(COST).alias("_day_cost")
-        )
-        ranked = rolling.join(F.broadcast(totals), F.col("usage_date").eqNullSafe(F.col("_day")), "left")
-        for alias, value in ranked_by.items():
-            ranked = add_rank(ranked, descending_ranks(spenders, "usage_date", value), "usage_date", value, alias)
+    # One row per calendar date; Spark broadcasts it by its measured size.
+    totals = spenders.groupBy(F.col("usage_date").alias("_day")).agg(
+        F.sum("query_count").alias("_day_queries"), F.sum("estimated_cost_usd").cast(COST).alias("_day_cost")
+    )
+    ranked = rolling.join(totals, F.col("usage_date").eqNullSafe(F.col("_day")), "left")
+    for alias, value in ranked_by.items():
+        ranked = add_rank(ranked.withColumn("_measure", of(alias)), ranks, "_measure", value, alias).drop("_measure")
     hundred = F.lit(Decimal(100))
     return ranked.select(
         X.surrogate_key(F.col("user_name"), F.col("usage_date")).alias("top_spender_id"),

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from costmart.config import Config
 from costmart.functions import exprs as X
@@ -96,6 +97,12 @@ class Env:
         clustering = SUM.category_clustering(self.inputs.clustering(), self.cfg)
         return compute.unionByName(SUM.category_storage(self.sd())).unionByName(clustering)
 
+    def sources(self):
+        i = self.inputs
+        return marts.Sources(
+            i.metering(), i.queries(), i.storage(), i.department_map(), i.budget(), i.attribution(), i.clustering()
+        )
+
     def sizes(self):
         return WH.dim_warehouse(self.sm(), self.sq())
 
@@ -172,12 +179,13 @@ query(
 )(lambda e: readers.conform_metering(e.stored(e.inputs.raw_metering(), "raw-metering")))
 
 
-@query(
-    "s09_load_inputs",
-    f"""select 'metering' as input, count(*) as row_count, {usd('sum(credits_used_compute)')} as total from c_metering
-        union all select 'queries', count(*), {usd('sum(total_elapsed_time)')} from c_queries
-        union all select 'storage', count(*), {usd('sum(average_failsafe_bytes)')} from c_storage""",
-)
+_LOADED = f"""
+    select 'metering' as input, count(*) as row_count, {usd('sum(credits_used_compute)')} as total from c_metering
+    union all select 'queries', count(*), {usd('sum(total_elapsed_time)')} from c_queries
+    union all select 'storage', count(*), {usd('sum(average_failsafe_bytes)')} from c_storage"""
+
+
+@query("s09_load_inputs", _LOADED)
 def _(e: Env) -> DataFrame:
     paths = {
         "metering": _csv_copy(e, e.inputs.raw_metering(), "metering"),
@@ -189,6 +197,18 @@ def _(e: Env) -> DataFrame:
     return _tagged({name: (loaded[name], column) for name, column in columns.items()}, "input")
 
 
+@query("s09_load_live", _LOADED)
+def _(e: Env) -> DataFrame:
+    """Live mode reads typed tables."""
+    typed = {"metering": e.inputs.metering(), "queries": e.inputs.queries(), "storage": e.inputs.storage()}
+    paths = {name: scratch_path(e.spark, name) for name in typed}
+    for name, df in typed.items():
+        df.write.parquet(paths[name])
+    loaded = readers.load_inputs(e.spark, "live", paths)
+    columns = {"metering": "credits_used_compute", "queries": "total_elapsed_time", "storage": "average_failsafe_bytes"}
+    return _tagged({name: (loaded[name], column) for name, column in columns.items()}, "input")
+
+
 @query(
     "s10_optional_inputs",
     f"""select 'attribution' as input, count(*) as row_count, {usd('sum(estimated_query_cost_usd)')} as total from c_attr
@@ -226,6 +246,9 @@ query("s13_write_clustered", "select * from c_sq")(
     lambda e: writers.write_clustered(e.sq(), scratch_path(e.spark, "stg_query_history"))
 )
 query("s14_recent", f"select * from c_daily where usage_date >= {ASOF} - 21")(lambda e: readers.recent(e.daily(), e.cfg, 7))
+query("s14_recent_departments", f"select * from c_dept where usage_date >= {ASOF} - 21")(
+    lambda e: readers.recent(e.dept(), e.cfg, 7)
+)
 query("s15_warehouse_settings", "select upper(name) as name, auto_suspend, upper(size) as size from c_settings")(
     lambda e: readers.warehouse_settings(
         e.inputs.settings().withColumnsRenamed({"name": "NAME", "auto_suspend": "AUTO_SUSPEND", "size": "WAREHOUSE_SIZE"})
@@ -238,6 +261,16 @@ query("s16_load_budget", "select date, trim(department) as department, budget_us
     )
 )
 
+
+
+def _no_fallback() -> DataFrame:
+    raise AssertionError("the primary budget has rows")
+
+
+query("s16_load_primary_budget", "select date, trim(department) as department, budget_usd from c_budget")(
+    lambda e: readers.load_budget(e.inputs.budget(), _no_fallback)
+)
+
 # ================================ staging and predicates =========================================
 
 query("p01_stage_metering", "select * from c_sm")(lambda e: e.sm())
@@ -422,8 +455,13 @@ query("a12_category_storage", "select * from c_cat_storage")(lambda e: SUM.categ
 query("a13_category_clustering", "select * from c_cat_clust")(
     lambda e: SUM.category_clustering(e.inputs.clustering(), e.cfg)
 )
+def _marks(staged: DataFrame) -> DataFrame:
+    found = [(I.high_water_mark(staged, "usage_hour_ntz", "usage_date"), I.high_water_mark(staged, "usage_date"))]
+    return staged.sparkSession.createDataFrame(found, "high_water_mark timestamp_ntz, last_date date")
+
+
 query("a14_high_water_mark", "select max(usage_hour_ntz) as high_water_mark, max(usage_date) as last_date from c_sq")(
-    lambda e: e.sq().agg(F.max("usage_hour_ntz").alias("high_water_mark"), F.max("usage_date").alias("last_date"))
+    lambda e: _marks(e.stored(e.sq(), "staged"))
 )
 
 
@@ -740,6 +778,18 @@ query(
         X.nudge_round(F.sqrt("o_totalprice"), 6).alias("root"),
     )
 )
+# Quotients beyond a bigint at six decimals.
+query(
+    "f11_large_quotient",
+    f"""select o_orderkey, {half_up('cast(o_totalprice as decimal(18,2)) * 100 * 10000000000', '(o_custkey % 7 + 1) * 100', 6)} as share from orders""",
+)(
+    lambda e: e.inputs.table("orders").select(
+        "o_orderkey",
+        X.exact_div(
+            (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(Decimal(10**10))).cast("decimal(28,2)"), X.whole(F.col("o_custkey") % 7 + 1), 6
+        ).alias("share"),
+    )
+)
 query(
     "f12_conditional_sum",
     """select event_type, cast(sum(case when value > 10 then 1 else 0 end) as bigint) as large,
@@ -817,7 +867,43 @@ def _(e: Env) -> DataFrame:
     path = scratch_path(e.spark, "stg_query_history")
     target = writers.write_clustered(_old(staged), path)
     batch = I.since_watermark(staged, target, partition_by="usage_date")
-    return I.upsert_table(e.spark, path, staged.schema, batch, "query_id", ["_loaded_at", "end_time"])
+    merged = I.upsert_table(e.spark, path, batch, "query_id", ["_loaded_at", "end_time"], sort_by="warehouse_name")
+    return merged.select(*staged.columns)
+
+
+def _merged_with(e: Env, column: str) -> DataFrame:
+    """Two deliveries of a log in which every fiftieth statement has no date or no id, merged on disk."""
+    hole = F.col("query_id").cast("bigint") % 50 == 0
+    staged = e.stored(e.sq().withColumn(column, F.when(~hole, F.col(column))), "staged")
+    path = scratch_path(e.spark, "stg_query_history")
+    I.upsert_table(e.spark, path, _old(staged), "query_id", ["_loaded_at", "end_time"], sort_by="warehouse_name")
+    since = F.col("usage_hour_ntz") >= F.lit(datetime(2024, 1, 20, 11)).cast("timestamp_ntz")
+    for _ in range(2):  # the second time stands for a replay
+        merged = I.upsert_table(e.spark, path, staged.where(since), "query_id", ["_loaded_at", "end_time"], sort_by="warehouse_name")
+    return merged.select(*staged.columns)
+
+
+_HOLE = "case when cast(query_id as bigint) % 50 = 0 then null else {0} end as {0}"
+query("i02_upsert_null_date", f"select * replace ({_HOLE.format('usage_date')}) from c_sq")(
+    lambda e: _merged_with(e, "usage_date")
+)
+query("i02_upsert_null_key", f"select * replace ({_HOLE.format('query_id')}) from c_sq")(
+    lambda e: _merged_with(e, "query_id")
+)
+
+
+@query("i04_legacy_tables", "select * from c_hourly")
+def _(e: Env) -> DataFrame:
+    """Stored tables of an older version (no hour bucket, no warehouse id), brought up to date by one run."""
+    root = scratch_path(e.spark, "legacy")
+    metering, staged = e.stored(e.sm(), "metering"), e.stored(e.sq(), "staged")
+    hourly = H.hourly_costs(_old(metering), _old(staged), e.cfg)
+    writers.write_table(_old(metering).drop("usage_hour_ntz"), f"{root}/stg_warehouse_metering", "usage_date")
+    writers.write_clustered(_old(staged).drop("usage_hour_ntz"), f"{root}/stg_query_history")
+    old_hourly = hourly.drop("usage_hour_ntz").withColumn("warehouse_id", F.lit(None).cast("bigint"))
+    writers.write_table(old_hourly, f"{root}/int_hourly_compute_costs", "usage_date")
+    built = marts.build_incremental(e.spark, root, e.sources(), e.cfg)
+    return built["int_hourly_compute_costs"].select(*hourly.columns)
 
 
 query(
@@ -880,8 +966,20 @@ query("m04_total_cost_summary_base", "select * from c_sum2")(lambda e: SUM.total
 query("m05_fct_cost_forecast", "select * from c_fc")(lambda e: FC.cost_forecast(e.daily(), e.cfg))
 query("m06_int_top_spenders", "select * from c_base")(lambda e: e.base())
 query("m07_fct_top_spenders", "select * from c_ranked")(lambda e: SP.top_spenders(e.base()))
-# The same mart by the way taken when a day has more users than one task should rank.
-query("m07_top_spenders_large_days", "select * from c_ranked")(lambda e: SP.top_spenders(e.base(), window_rows=0))
+# Rows without a date are ranked among themselves.
+query("m07_top_spenders_undated", """
+    select usage_date, count(*) as users, max(rank_by_query_count) as last_rank, cast(sum(query_count) as bigint) as query_count
+    from (select usage_date, query_count, rank() over (partition by usage_date order by query_count desc) as rank_by_query_count
+          from (select user_name, case when day(usage_date) % 3 = 0 then null else usage_date end as usage_date,
+                       sum(query_count) as query_count from c_base group by 1, 2))
+    group by 1""")(
+    lambda e: SP.top_spenders(
+        e.base().withColumn("usage_date", F.when(F.dayofmonth("usage_date") % 3 != 0, F.col("usage_date")))
+    )
+    .groupBy("usage_date")
+    .agg(F.count("*").alias("users"), F.max("rank_by_query_count").alias("last_rank"), F.sum("query_count").alias("query_count"))
+)
+query("m07_top_spenders_large_days", "select * from c_ranked")(lambda e: SP.top_spenders(e.base()))
 query("m08_fct_cost_by_department", "select * from c_dept")(lambda e: e.dept())
 query("m09_fct_budget_vs_actual", "select * from c_bva")(lambda e: e.bva())
 query("m10_dim_warehouse", "select * from c_dimw")(lambda e: e.sizes())
@@ -912,9 +1010,26 @@ query("q06_relationship", "select * from c_daily where warehouse_name not in (se
 query("q07_idle_within_compute", "select usage_date, warehouse_name, compute_cost, idle_cost from c_daily where idle_cost > compute_cost")(
     lambda e: Q.idle_within_compute(e.daily())
 )
-query("q08_matches_contract", "select 'c' as column, 'c' as expected, 'c' as actual from c_daily where false")(
-    lambda e: Q.contract_differences(e.daily(), D.DAILY_CONTRACT)
+_ROLLUP = f"""
+    select usage_date, warehouse_name, cast(sum(compute_cost_usd) as decimal(28,6)) as compute_cost, cast(sum(idle_cost_usd) as decimal(28,6)) as idle_cost
+    from c_hourly group by 1, 2"""
+# Before the cap, and with a tighter limit, so that there are violations to find.
+query("q07_idle_within_share", f"select * from ({_ROLLUP}) where idle_cost > compute_cost * 0.05")(
+    lambda e: Q.idle_within_compute(D.daily_rollup(e.hourly()), Decimal("0.05"))
+)
+_OTHER_CONTRACT = (
+    StructType([f for f in D.DAILY_CONTRACT.fields if f.name not in ("compute_cost", "total_cost")])
+    .add("compute_cost", "decimal(7,6)")
+    .add("region", "string")
 )
+_COST_TYPE = D.DAILY_CONTRACT["compute_cost"].dataType.simpleString()
+query(
+    "q08_matches_contract",
+    f"""select 'compute_cost' as "column", 'decimal(7,6)' as expected, '{_COST_TYPE}' as actual,
+               count(*) filter (compute_cost is not null and try_cast(compute_cost as decimal(7,6)) is null) as misfits from c_daily
+        union all select 'region', 'string', null, null
+        union all select 'total_cost', null, '{D.DAILY_CONTRACT["total_cost"].dataType.simpleString()}', null""",
+)(lambda e: Q.contract_misfits(e.daily(), _OTHER_CONTRACT))
 _AGE = half_up("epoch_us(timestamp '2024-02-02 12:00:00') - epoch_us({0})", "3600000000", 2)
 _BAND = "case when {0} > 96 then 'error' when {0} > 48 then 'warn' else 'pass' end"
 query(
@@ -922,6 +1037,13 @@ query(
     f"""select latest, age_hours, {_BAND.format('age_hours')} as status
         from (select max(start_time) as latest, {_AGE.format('max(start_time)')} as age_hours from c_metering)""",
 )(lambda e: Q.source_freshness(e.inputs.metering(), "start_time", NOW))
+for _source, _table, _column in (("queries", "c_queries", "end_time"), ("storage", "c_storage", "usage_date")):
+    _latest = f"cast(max({_column}) as timestamp)"
+    query(
+        f"q09_{_source}_freshness",
+        f"""select latest, age_hours, {_BAND.format('age_hours')} as status
+            from (select {_latest} as latest, {_AGE.format(_latest)} as age_hours from {_table})""",
+    )(lambda e, s=_source, c=_column: Q.source_freshness(getattr(e.inputs, s)(), c, NOW))
 query(
     "q10_mart_freshness",
     f"""select latest, age_hours, {_BAND.format('age_hours')} as status
@@ -974,15 +1096,43 @@ def _(e: Env) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("q00_all_suites", None)
+_SUITE_TABLES = {
+    "stg_warehouse_metering": "c_sm", "stg_query_history": "c_sq", "stg_storage_usage": "c_ss", "int_hourly_compute_costs": "c_hourly",
+    "fct_daily_costs": "c_daily", "fct_daily_storage_costs": "c_sd", "fct_total_cost_summary": "c_sum3", "fct_cost_forecast": "c_fc",
+    "int_top_spenders": "c_base", "fct_top_spenders": "c_ranked", "fct_cost_by_department": "c_dept", "fct_budget_vs_actual": "c_bva",
+    "dim_warehouse": "c_dimw", "budget_daily": "c_budget", "storage_history": "c_storage", "query_history": "c_queries",
+    "dim_department": "(select upper(trim(warehouse_name)) as warehouse_name, trim(department) as department from c_map)",
+}
+
+
+def _suite_sql() -> str:
+    """Every declared check as a count of its violations."""
+    parts = []
+    for table, sql in _SUITE_TABLES.items():
+        suite = Q.SUITES[table]
+        found = {f"not_null({c})": f"from {sql} where {c} is null" for c in suite.not_null}
+        for c, low, high in suite.between:
+            limits = [f"{c} >= {low}"] * (low is not None) + [f"{c} <= {high}"] * (high is not None)
+            found[f"between({c})"] = f"from {sql} where not ({' and '.join(limits)})"
+        for c, values in suite.accepted:
+            found[f"accepted({c})"] = f"from {sql} where {c} not in ({', '.join(repr(v) for v in values)})"
+        found |= {name: f"from {sql} where {rule}" for name, rule in suite.rules.items()}
+        for columns in [(c,) for c in suite.unique] + list(suite.unique_combos):
+            some = f"where {columns[0]} is not null" if len(columns) == 1 else ""
+            keys = ", ".join(columns)
+            found[f"unique({keys})"] = f"from (select {keys} from {sql} {some} group by {keys} having count(*) > 1)"
+        for c, parent in suite.relationships:
+            known = f"select {c} from {_SUITE_TABLES[parent]} where {c} is not null"
+            found[f"relationship({c})"] = f"from {sql} where {c} is not null and {c} not in ({known})"
+        parts += [f"select '{check}' as check_name, '{table}' as table_name, count(*) as violations {rest}" for check, rest in found.items()]
+    return " union all ".join(parts)
+
+
+@query("q00_all_suites", _suite_sql())
 def _(e: Env) -> DataFrame:
     """Every declared suite over a whole build."""
     inputs = e.inputs
-    sources = marts.Sources(
-        inputs.metering(), inputs.queries(), inputs.storage(), inputs.department_map(), inputs.budget(),
-        inputs.attribution(), inputs.clustering(),
-    )
-    tables = marts.build(sources, e.cfg, marts.store_under(scratch_path(e.spark, "build")))
+    tables = marts.build(e.sources(), e.cfg, marts.store_under(scratch_path(e.spark, "build")))
     return Q.run_checks({**tables, "budget_daily": inputs.budget(), "storage_history": inputs.storage(), "query_history": inputs.queries()})
 
 
@@ -1039,6 +1189,33 @@ query(
                      (select {usd('coalesce(sum(total_cost_usd), 0)')} from c_dept where {_MTD}) as actual_mtd)""",
     MID_MONTH,
 )(lambda e: A.budget_variance(e.dept(), e.inputs.budget(), e.cfg))
+_VARIANCE = """
+    select budget_mtd, actual_mtd, actual_mtd - budget_mtd as variance_usd, {pct} as variance_pct,
+           case when budget_mtd > 0 and actual_mtd <= 0 then 'no spend' when budget_mtd = 0 then 'vs actual spend'
+                when actual_mtd > budget_mtd then 'over' when actual_mtd < budget_mtd then 'under' else 'on' end as variance_status
+    from (select {budget} as budget_mtd, {actual} as actual_mtd)"""
+query(
+    "d03_no_department_month",
+    _VARIANCE.format(
+        pct=pct("actual_mtd - budget_mtd", "budget_mtd"),
+        budget=f"(select {usd('sum(budget_usd)')} from c_budget where {_MTD.replace('usage_date', 'date', 1)})",
+        actual=f"(select {usd('sum(total_cost)')} from c_daily where {_MTD})",
+    ),
+    MID_MONTH,
+)(lambda e: A.budget_variance(e.dept().where(F.col("usage_date") < F.lit(date(2024, 1, 1))), e.inputs.budget(), e.cfg, e.daily()))
+query(
+    "d03_budget_outside_month",
+    _VARIANCE.format(
+        pct="cast(null as decimal(38,2))",
+        budget=f"(select {usd('0 * count(*)')} from c_budget)",
+        actual=f"(select {usd('sum(total_cost_usd)')} from c_dept where {_MTD})",
+    ),
+    MID_MONTH,
+)(
+    lambda e: A.budget_variance(
+        e.dept(), e.inputs.budget().where(F.col("date") > F.lit(date(2024, 1, 31))), e.cfg, e.daily()
+    )
+)
 query(
     "d04_idle_share_30d",
     f"""select idle_total, cost_total, case when cost_total > 0 then {pct('idle_total', 'cost_total')} end as idle_share_pct
@@ -1092,11 +1269,11 @@ query(
 )(_autosuspend)
 query("d10_insights", "select * from c_insights")(_insights)
 _MULTIPLIERS = {
-    "AFRICA": Decimal("1.08"),
-    "AMERICA": Decimal("0.98"),
-    "ASIA": Decimal("1.05"),
-    "EUROPE": Decimal("0.85"),
-    "MIDDLE EAST": Decimal("1.15"),
+    "AFRICA": Decimal("1.25"),
+    "AMERICA": Decimal("1.10"),
+    "ASIA": Decimal("0.75"),
+    "EUROPE": Decimal("1.00"),
+    "MIDDLE EAST": Decimal("0.60"),
 }
 _FACTOR = "case department " + " ".join(f"when '{d}' then {m}" for d, m in _MULTIPLIERS.items()) + " end"
 query(

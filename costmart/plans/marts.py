@@ -20,10 +20,12 @@ from costmart.operators.storage import daily_storage_costs
 from costmart.operators.summary import total_cost_summary
 from costmart.operators.warehouses import dim_warehouse
 from costmart.sources import readers
-from costmart.sources.writers import read_table, write_clustered, write_table
+from costmart.sources.writers import write_table
 
 # Layout on disk: tables that grow with usage are laid out by date, so windowed reads prune.
 PARTITIONED = {"stg_warehouse_metering", "stg_query_history", "int_hourly_compute_costs", "int_top_spenders", "fct_top_spenders"}
+# Rows are sorted inside each file by this column.
+CLUSTERED = {"stg_query_history": "warehouse_name"}
 
 
 @dataclass(frozen=True)
@@ -45,9 +47,7 @@ def store_under(root: str) -> Store:
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{root.rstrip('/')}/{name}"
-        if name == "stg_query_history":
-            return write_clustered(df, path)
-        return write_table(df, path, "usage_date" if name in PARTITIONED else None)
+        return write_table(df, path, "usage_date" if name in PARTITIONED else None, CLUSTERED.get(name))
 
     return store
 
@@ -93,59 +93,70 @@ def build_marts(staged: dict[str, DataFrame], sources: Sources, cfg: Config, sto
 def build_incremental(spark: SparkSession, root: str, sources: Sources, cfg: Config) -> dict[str, DataFrame]:
     """Merge what arrived since each table's high-water mark, then rebuild the marts.
 
-    The first run builds everything; later runs scan and rewrite only the lookback and newer dates.
+    Each table is loaded by itself: one that is missing is built from all its source holds, one that is
+    stored is repaired (columns and buckets that older versions lacked) and merged into. A stored table is
+    never overwritten from a source that is cut at its horizon.
     """
     root = root.rstrip("/")
     store = store_under(root)
-    blank = {
-        "stg_warehouse_metering": stage_metering(sources.metering, cfg).schema,
-        "stg_query_history": stage_queries(sources.queries, cfg).schema,
-        "stg_storage_usage": stage_storage(readers.read_storage(sources.storage, cfg), cfg).schema,
-    }
-    if not all(inc.table_stored(spark, f"{root}/{name}") for name in [*blank, "int_hourly_compute_costs"]):
-        return build(sources, cfg, store)
+    t: dict[str, DataFrame] = {}
+    # Metering hours are booked on their end or their start; a missing bucket follows the same rule.
+    hours = ("end_time", "hour_end", "hour_start") if cfg.meter_bucket == "end" else ("end_time", "hour_start", "hour_end")
+
+    def backfill(df: DataFrame) -> DataFrame:
+        return inc.backfill(df, hours)
 
-    def stored(name: str, schema) -> DataFrame:
-        return read_table(spark, f"{root}/{name}", schema)
+    def is_stored(name: str) -> bool:
+        return inc.table_stored(spark, f"{root}/{name}")
 
     def merge(name: str, batch: DataFrame, key: str, newest: list[str], fixed_date: bool) -> DataFrame:
         return inc.upsert_table(
-            spark, f"{root}/{name}", batch.schema, batch, key, newest,
-            key_implies_partition=fixed_date, policy=cfg.schema_policy,
+            spark, f"{root}/{name}", batch, key, newest,
+            key_implies_partition=fixed_date, policy=cfg.schema_policy, sort_by=CLUSTERED.get(name),
         )
 
-    metering_new = inc.since_watermark(
-        readers.read_metering(sources.metering, cfg),
-        stored("stg_warehouse_metering", blank["stg_warehouse_metering"]),
-        inc.METERING_WATERMARKS,
-        partition_by="usage_date",
-    )
-    queries_new = inc.since_watermark(
-        readers.read_queries(sources.queries, cfg),
-        stored("stg_query_history", blank["stg_query_history"]),
-        inc.QUERY_WATERMARKS,
-        partition_by="usage_date",
+    def load(name: str, source: DataFrame, stage, marks, key: str, newest: list[str], fixed_date: bool) -> None:
+        if not is_stored(name):
+            t[name] = store(name, stage(source, cfg))
+            return
+        path = f"{root}/{name}"
+        inc.repair_table(spark, path, backfill, ["usage_hour_ntz"], sort_by=CLUSTERED.get(name))
+        new = inc.since_watermark(source, inc.stored_table(spark, path), marks, partition_by="usage_date")
+        t[name] = merge(name, stage(new, cfg), key, newest, fixed_date)
+
+    load(
+        "stg_warehouse_metering", readers.read_metering(sources.metering, cfg), stage_metering,
+        inc.METERING_WATERMARKS, "metering_id", ["_loaded_at", "hour_start"], True,
     )
-    old_storage = stored("stg_storage_usage", blank["stg_storage_usage"])
-    storage_new = inc.since_watermark(
-        readers.read_storage(sources.storage, cfg, full=False), old_storage, (inc.STORAGE_WATERMARK,), "usage_date"
-    )
-    t = {
-        "stg_warehouse_metering": merge(
-            "stg_warehouse_metering", stage_metering(metering_new, cfg), "metering_id", ["_loaded_at", "hour_start"], True
-        ),
-        "stg_query_history": merge(
-            "stg_query_history", stage_queries(queries_new, cfg), "query_id", ["_loaded_at", "end_time"], False
-        ),
-    }
-    merged_storage = inc.upsert(old_storage, stage_storage(storage_new, cfg), "storage_snapshot_id", ["usage_date"])
-    t["stg_storage_usage"] = inc.replace_table(spark, merged_storage, f"{root}/stg_storage_usage")
-    hourly_schema = hourly_costs(t["stg_warehouse_metering"], t["stg_query_history"], cfg).schema
-    target = stored("int_hourly_compute_costs", hourly_schema)
-    batch = inc.hourly_costs_incremental(
-        t["stg_warehouse_metering"], t["stg_query_history"], target, cfg, partition_by="usage_date"
+    load(
+        "stg_query_history", readers.read_queries(sources.queries, cfg), stage_queries,
+        inc.QUERY_WATERMARKS, "query_id", ["_loaded_at", "end_time"], False,
     )
-    t["int_hourly_compute_costs"] = merge("int_hourly_compute_costs", batch, "cost_hour_key", ["_loaded_at"], True)
+
+    name = "stg_storage_usage"
+    if is_stored(name):
+        old = inc.stored_table(spark, f"{root}/{name}")
+        new = inc.since_watermark(
+            readers.read_storage(sources.storage, cfg, full=False), old, (inc.STORAGE_WATERMARK,), "usage_date"
+        )
+        batch = stage_storage(new, cfg)
+        inc.sync_schema(old, batch, cfg.schema_policy)
+        merged = inc.upsert(old, batch, "storage_snapshot_id", ["usage_date"])
+        t[name] = inc.replace_table(spark, merged, f"{root}/{name}")
+    else:
+        t[name] = store(name, stage_storage(readers.read_storage(sources.storage, cfg), cfg))
+
+    name = "int_hourly_compute_costs"
+    metering, queries = t["stg_warehouse_metering"], t["stg_query_history"]
+    if is_stored(name):
+        path = f"{root}/{name}"
+        inc.repair_table(
+            spark, path, lambda df: inc.backfill_warehouse_id(backfill(df), metering), ["usage_hour_ntz", "warehouse_id"]
+        )
+        batch = inc.hourly_costs_incremental(metering, queries, inc.stored_table(spark, path), cfg, partition_by="usage_date")
+        t[name] = merge(name, batch, "cost_hour_key", ["_loaded_at"], True)
+    else:
+        t[name] = store(name, hourly_costs(metering, queries, cfg))
     return build_marts(t, sources, cfg, store)
 
 

@@ -95,10 +95,11 @@ CTES = {
         from region, range(date '2024-01-01', date '2024-02-15', interval 1 day) t(d)""",
     "c_attr": """
         select query_id, cast(round(cast(total_elapsed_time as decimal(18,0)) * 0.00001, 6) as decimal(38,6)) as estimated_query_cost_usd
-        from c_queries where total_elapsed_time >= 20000""",
+        from c_queries""",
     "c_clust": """
-        select date_trunc('hour', ts) as usage_hour, cast(count(*) * 0.01 as decimal(18,3)) as credits_used
-        from events where event_type = 'signup' group by 1""",
+        select date_trunc('hour', ts) as usage_hour,
+               cast(sum(case when event_type = 'signup' then 0.010 else 0.002 end) as decimal(18,3)) as credits_used
+        from events group by 1""",
     "c_settings": f"""
         select distinct {WH} as name,
                cast(case user_id % 9 % 3 when 0 then 300 when 1 then 600 end as integer) as auto_suspend, {SIZE} as size

@@ -33,18 +33,25 @@ def build_session(app_name: str = "costmart", master: str | None = None, **conf)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named (local tests)."""
+    """The cluster's checkpoint folder; a temporary one only where none is named and all is one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if known:
         return known.rstrip("/")
+    require_local(spark.sparkContext.master)
     root = tempfile.mkdtemp(prefix="costmart-")
     spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def require_local(master: str) -> None:
+    """Executors on other machines can't see the driver's temporary folder, so a cluster must name one."""
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so retries cannot read stale files."""
     return f"{shared_dir(spark)}/costmart/{name}-{uuid.uuid4().hex}"

@@ -171,21 +171,18 @@ class Inputs:
         )
 
     def attribution(self) -> DataFrame:
-        """Cost estimates exist for statements of twenty seconds or more."""
+        """A cost estimate for every statement, by its run time."""
         elapsed = F.col("total_elapsed_time")
         return cast_to(
-            self.queries()
-            .where(elapsed >= 20_000)
-            .select("query_id", F.round(elapsed.cast("decimal(18,0)") * F.lit(Decimal("0.00001")), 6).alias("estimated_query_cost_usd")),
+            self.queries().select("query_id", F.round(elapsed.cast("decimal(18,0)") * F.lit(Decimal("0.00001")), 6).alias("estimated_query_cost_usd")),
             schemas.ATTRIBUTION,
         )
 
     def clustering(self) -> DataFrame:
         return cast_to(
             self.table("events")
-            .where(F.col("event_type") == "signup")
             .groupBy(X.bucket(F.col("ts")).alias("usage_hour"))
-            .agg((F.count(F.lit(1)) * F.lit(Decimal("0.01"))).alias("credits_used")),
+            .agg(F.sum(F.when(F.col("event_type") == "signup", Decimal("0.010")).otherwise(Decimal("0.002"))).alias("credits_used")),
             schemas.CLUSTERING,
         )
 

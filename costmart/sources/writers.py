@@ -17,12 +17,19 @@ INSIGHT_COLUMNS = (
 )
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def laid_out(df: DataFrame, partition_by: str | None, sort_by: str | None = None) -> DataFrame:
+    """Rows balanced over tasks by date, sorted inside each file where the table is clustered."""
+    if not partition_by:
+        return df
+    if not sort_by:
+        return df.hint("rebalance", partition_by)
+    return df.hint("rebalance", partition_by, sort_by).sortWithinPartitions(partition_by, sort_by)
+
+
+def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None) -> DataFrame:
     """Full refresh of a mart; returns the stored table."""
-    if partition_by:
-        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    writer = laid_out(df, partition_by, sort_by).write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return read_table(df.sparkSession, path, df.schema)
 
 
@@ -30,14 +37,7 @@ def write_clustered(
     df: DataFrame, path: str, partition_by: str = "usage_date", sort_by: str = "warehouse_name"
 ) -> DataFrame:
     """Date directories, rows sorted inside each file so row-group statistics prune on `sort_by`."""
-    (
-        df.hint("rebalance", partition_by, sort_by)
-        .sortWithinPartitions(partition_by, sort_by)
-        .write.mode("overwrite")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    return read_table(df.sparkSession, path, df.schema)
+    return write_table(df, path, partition_by, sort_by)
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:

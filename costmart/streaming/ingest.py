@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from costmart.config import Config
 from costmart.operators.incremental import upsert_table
 from costmart.operators.staging import stage_metering, stage_queries
+from costmart.plans.marts import CLUSTERED
 from costmart.sources import schemas
 
 
@@ -31,6 +32,8 @@ def upsert_stream(
     newest_first: list[str],
     checkpoint: str,
     key_implies_partition: bool = False,
+    policy: str = "sync",
+    sort_by: str | None = None,
 ) -> StreamingQuery:
     """Stage each micro-batch and merge it by key, then stop when the landed files are used up.
 
@@ -39,9 +42,9 @@ def upsert_stream(
     """
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        staged = stage(batch)
         upsert_table(
-            batch.sparkSession, path, staged.schema, staged, key, newest_first, key_implies_partition=key_implies_partition
+            batch.sparkSession, path, stage(batch), key, newest_first,
+            key_implies_partition=key_implies_partition, policy=policy, sort_by=sort_by,
         )
 
     return (
@@ -57,6 +60,8 @@ def ingest_queries(spark: SparkSession, landing: str, path: str, checkpoint: str
         "query_id",
         ["_loaded_at", "end_time"],
         checkpoint,
+        policy=cfg.schema_policy,
+        sort_by=CLUSTERED["stg_query_history"],
     )
 
 
@@ -69,6 +74,7 @@ def ingest_metering(spark: SparkSession, landing: str, path: str, checkpoint: st
         ["_loaded_at", "hour_start"],
         checkpoint,
         key_implies_partition=True,
+        policy=cfg.schema_policy,
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -56,7 +57,7 @@ def main(folder: str, patterns: list[str]) -> int:
     from costmart import build_session
     from costmart.plans.catalog import ORACLES, QUERIES
 
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session(master=os.environ.get("ORACLE_MASTER", "local[8]"), **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     failed = 0

@@ -5,8 +5,10 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from costmart.config import Config
 from costmart.operators import incremental as I
 from costmart.plans import marts
+from costmart.session import require_local
 from costmart.sources.adapter import Inputs
 from costmart.sources.writers import read_table
 from costmart.streaming import ingest
@@ -59,12 +61,12 @@ def test_table_merge_rewrites_touched_dates_and_moves_rows(spark, tmp_path):
     schema = "k string, seq int, usage_date date"
     path = f"{tmp_path}/t"
     first = spark.createDataFrame([("a", 1, date(2024, 1, 1)), ("b", 1, date(2024, 1, 2)), ("c", 1, date(2024, 1, 3))], schema)
-    I.upsert_table(spark, path, first.schema, first, "k", ["seq"])
+    I.upsert_table(spark, path, first, "k", ["seq"])
     untouched = {p.name for p in (tmp_path / "t" / "usage_date=2024-01-03").glob("*.parquet")}
     # "a" moves to another date, leaving its old date empty; "b" stays in place; "d" is new.
     batch = spark.createDataFrame([("a", 2, date(2024, 1, 2)), ("d", 1, date(2024, 1, 4))], schema)
     for _ in range(2):  # the second run stands for a retry
-        out = I.upsert_table(spark, path, first.schema, batch, "k", ["seq"])
+        out = I.upsert_table(spark, path, batch, "k", ["seq"])
         assert rows_of(out, "k", "seq", "usage_date") == [
             ("a", 2, date(2024, 1, 2)),
             ("b", 1, date(2024, 1, 2)),
@@ -79,22 +81,22 @@ def test_interrupted_replacement_is_finished_by_the_next_run(spark, tmp_path, mo
     schema = "k string, seq int, usage_date date"
     path = f"{tmp_path}/t"
     first = spark.createDataFrame([("a", 1, date(2024, 1, 1)), ("b", 1, date(2024, 1, 1))], schema)
-    I.upsert_table(spark, path, first.schema, first, "k", ["seq"])
+    I.upsert_table(spark, path, first, "k", ["seq"])
     batch = spark.createDataFrame([("a", 2, date(2024, 1, 1))], schema)
     finish, calls = I.finish_pending, []
 
-    def die(spark, path, partition_by):
+    def die(spark, path):
         calls.append(path)
         if len(calls) == 2:  # the replacement itself: the old date is gone, the new one not yet there
             I._delete(spark, f"{path}/usage_date=2024-01-01")
             raise RuntimeError("lost driver")
-        finish(spark, path, partition_by)
+        finish(spark, path)
 
     monkeypatch.setattr(I, "finish_pending", die)
     with pytest.raises(RuntimeError):
-        I.upsert_table(spark, path, first.schema, batch, "k", ["seq"])
+        I.upsert_table(spark, path, batch, "k", ["seq"])
     monkeypatch.setattr(I, "finish_pending", finish)
-    out = I.upsert_table(spark, path, first.schema, batch, "k", ["seq"])
+    out = I.upsert_table(spark, path, batch, "k", ["seq"])
     assert rows_of(out, "k", "seq") == [("a", 2), ("b", 1)]
     assert not (tmp_path / "t.pending").exists()
 
@@ -171,3 +173,94 @@ def test_streamed_hours_equal_batch_hours(spark, tables, tmp_path):
     closed = {k: v for k, v in want.items() if k[1] + timedelta(hours=1) <= last}
     assert closed and all(out.get(k) == v for k, v in closed.items())
     assert all(want[k] == v for k, v in out.items())
+
+
+SCHEMA = "k string, seq int, usage_date date"
+DAY = date(2024, 1, 1)
+
+
+def test_rows_without_a_date_are_kept_and_moved(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    I.upsert_table(spark, path, spark.createDataFrame([("a", 1, None), ("b", 1, None)], SCHEMA), "k", ["seq"])
+    out = I.upsert_table(spark, path, spark.createDataFrame([("c", 1, None)], SCHEMA), "k", ["seq"])
+    assert sorted(r.k for r in out.collect()) == ["a", "b", "c"]
+    moved = spark.createDataFrame([("a", 2, DAY), ("b", 2, DAY), ("c", 2, DAY)], SCHEMA)
+    out = I.upsert_table(spark, path, moved, "k", ["seq"])
+    assert rows_of(out, "k", "seq", "usage_date") == [(k, 2, DAY) for k in "abc"]
+
+
+def test_rows_without_a_key_are_neither_merged_nor_repeated(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = [(None, 1, DAY), (None, 1, DAY), (None, 2, DAY), ("a", 1, DAY)]
+    batch = spark.createDataFrame(rows, SCHEMA)
+    for _ in range(2):  # the second run repeats the batch, as a lookback does
+        out = I.upsert_table(spark, path, batch, "k", ["seq"])
+        assert sorted(r.seq for r in out.where("k is null").collect()) == [1, 1, 2]
+    out = I.upsert_table(spark, path, spark.createDataFrame([(None, 3, DAY)], SCHEMA), "k", ["seq"])
+    assert sorted(r.seq for r in out.where("k is null").collect()) == [1, 1, 2, 3]
+
+
+def test_stored_schema_decides_on_changes(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    wide = spark.createDataFrame([("a", 1, DAY, "x"), ("b", 1, date(2024, 1, 2), "y")], SCHEMA + ", extra string")
+    I.upsert_table(spark, path, wide, "k", ["seq"])
+    batch = spark.createDataFrame([("c", 1, DAY)], SCHEMA)
+    with pytest.raises(ValueError, match="extra"):
+        I.upsert_table(spark, path, batch, "k", ["seq"], policy="fail")
+    out = I.upsert_table(spark, path, batch, "k", ["seq"])
+    assert {r.k: r.extra for r in out.collect()} == {"a": "x", "b": "y", "c": None}
+
+
+def test_a_run_that_dies_between_two_moves_is_finished(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    days = [date(2024, 1, d) for d in (1, 2, 3)]
+    I.upsert_table(spark, path, spark.createDataFrame([("a", 1, days[0]), ("b", 1, days[1])], SCHEMA), "k", ["seq"])
+    move, moved = I._move, []
+
+    def die(spark, source, target):
+        if moved:
+            raise RuntimeError("lost driver")
+        moved.append(source)
+        move(spark, source, target)
+
+    monkeypatch.setattr(I, "_move", die)
+    batch = spark.createDataFrame([("a", 2, days[2]), ("b", 2, days[1])], SCHEMA)
+    with pytest.raises(RuntimeError):
+        I.upsert_table(spark, path, batch, "k", ["seq"])
+    monkeypatch.setattr(I, "_move", move)
+    I.finish_pending(spark, path)
+    assert rows_of(I.stored_table(spark, path), "k", "seq", "usage_date") == [("a", 2, days[2]), ("b", 2, days[1])]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_merged_dates_stay_sorted(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = f"{tmp_path}/t"
+    for start in (0, 500):
+        rows = [(str(i), i % 7, DAY) for i in range(start, start + 1000)]
+        I.upsert_table(spark, path, spark.createDataFrame(rows, SCHEMA).repartition(5), "k", ["seq"], sort_by="seq")
+    for file in (tmp_path / "t" / "usage_date=2024-01-01").glob("*.parquet"):
+        values = pq.read_table(file, partitioning=None)["seq"].to_pylist()
+        assert values == sorted(values)
+
+
+def test_a_missing_table_does_not_cost_the_others_their_history(spark, cfg, tmp_path):
+    inputs = Inputs(spark, DATA)
+    sources = marts.Sources(inputs.metering(), inputs.queries(), inputs.storage(), inputs.department_map(), inputs.budget())
+    root = str(tmp_path / "warehouse")
+    first = marts.build_incremental(spark, root, sources, cfg)
+    before, hours = first["stg_query_history"].count(), first["stg_warehouse_metering"].count()
+    I._delete(spark, f"{root}/int_hourly_compute_costs")
+    # A month later the sources' horizon no longer reaches the first weeks.
+    later = marts.build_incremental(spark, root, sources, Config(as_of=date(2024, 2, 20)))
+    assert later["stg_query_history"].count() == before
+    assert later["int_hourly_compute_costs"].count() == hours
+
+
+def test_temporary_folders_are_for_one_machine_only():
+    for master in ("local", "local[8]", "local[*]"):
+        require_local(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            require_local(master)

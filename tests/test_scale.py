@@ -45,29 +45,30 @@ def test_positions_equal_dense_rank(spark):
     assert found == {n: i for i, n in enumerate(sorted({n for n in names if n}), 1)}
 
 
-def test_large_days_are_never_windowed_whole(spark, tables):
-    plan = plan_of(spenders.top_spenders(tables["int_top_spenders"], window_rows=0))
+def test_days_are_never_windowed_whole(spark, tables):
+    plan = plan_of(spenders.top_spenders(tables["int_top_spenders"]))
     assert "rank(" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_small_days_share_one_exchange(spark, tables):
-    plan = plan_of(spenders.top_spenders(tables["int_top_spenders"]))
-    assert plan.count("Exchange hashpartitioning(usage_date") == 1 and plan.count("Exchange ") == 2
-    assert "Join" not in plan
-
-
-def test_both_ways_of_ranking_agree(spark, tables):
+def test_ranking_equals_windows(spark, tables):
     # Some rows without a date or a user, which form groups of their own.
     undated = F.when(F.col("warehouse_name") != "WH_1", F.col("usage_date")).alias("usage_date")
     unnamed = F.when(F.col("warehouse_name") != "WH_2", F.col("user_name")).alias("user_name")
     others = [c for c in tables["int_top_spenders"].columns if c not in ("usage_date", "user_name")]
     base = tables["int_top_spenders"].select(undated, unnamed, *others)
-    small = spenders.top_spenders(base)
-    large = spenders.top_spenders(base, window_rows=0)
-    assert small.where("usage_date is null").count() > 0 and small.where("rank_by_cost is null").count() == 0
-    assert small.schema.simpleString() == large.schema.simpleString()
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    found = spenders.top_spenders(base)
+    assert found.where("usage_date is null").count() > 0 and found.where("rank_by_cost is null").count() == 0
+    day = W.partitionBy("usage_date")
+    by = {
+        "rank_by_query_count": F.desc("query_count"),
+        "rank_by_runtime": F.desc_nulls_first("total_runtime_seconds"),
+        "rank_by_cost": F.desc("estimated_cost_usd"),
+    }
+    ranks = [F.rank().over(day.orderBy(order)).cast("bigint").alias(c) for c, order in by.items()]
+    want = spenders.spenders_daily(base).select("usage_date", "user_name", *ranks)
+    found = found.select(*want.columns)
+    assert found.exceptAll(want).count() == 0 and want.exceptAll(found).count() == 0
 
 
 def test_copies_of_one_key_are_reduced_before_the_shuffle(spark):
