@@ -159,7 +159,7 @@ class _Reader:
         full = np.flatnonzero(width < 1 << 16)
         if full.size:
             which = full if isinstance(block, slice) else block[full]
-            at = self.at[which]
+            at = np.minimum(self.at[which], self.words.shape[1] - 1)  # broken blocks may run over
             code[full] = (code[full] << 16) | self.words[which, at]
             width[full] <<= 16
             self.at[which] = at + 1
@@ -271,7 +271,7 @@ def decode_blocks(coded: list[bytes], total: int, sums: list[int]) -> np.ndarray
         rest = np.flatnonzero(escape)
         if rest.size:
             cdf, each = model.classes[rest], np.arange(len(rest))
-            kind = (cdf[:, 1:16] <= source.target(rest)[:, None]).sum(1)
+            kind = np.minimum((cdf[:, 1:16] <= source.target(rest)[:, None]).sum(1), _CLASS[BLOCK - 1])
             start = cdf[each, kind]
             source.take(rest, start, cdf[each, kind + 1] - start)
             model.learn_class(rest, cdf, kind)
