@@ -28,6 +28,7 @@ HEADLINE = (
     "m10_dim_warehouse",
     "a01_query_activity",
     "i02_upsert_table",
+    "i04_legacy_tables",
     "d10_insights",
 )
 RUNS = 3

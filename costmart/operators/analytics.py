@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from costmart.config import Config
 from costmart.functions import exprs as X
+from costmart.session import stage_table
 from costmart.sources.writers import INSIGHT_COLUMNS
 
 COST = "decimal(38,6)"
@@ -482,9 +483,10 @@ def department_run_rate(raw_metering: DataFrame, department_map: DataFrame, days
         X.day_of(F.col("start_time").cast("timestamp_ntz")).alias("usage_date"),
         "total_cost_usd",
     )
-    # Reduced to warehouse × day before anything else; the newest day is then a cheap driver literal.
-    by_day = by_day.groupBy("warehouse_name", "usage_date").agg(F.sum("total_cost_usd").alias("cost"))
-    newest = raw_metering.agg(F.max(X.day_of(F.col("start_time").cast("timestamp_ntz")))).first()[0]
+    # Reduced to warehouse × day and stored before anything else: the log is scanned once, and the newest day
+    # is then a cheap driver literal.
+    by_day = stage_table(by_day.groupBy("warehouse_name", "usage_date").agg(F.sum("total_cost_usd").alias("cost")), "run-rate")
+    newest = by_day.agg(F.max("usage_date")).first()[0]
     names = department_map.select(
         X.clean_name(F.col("warehouse_name")).alias("_name"), F.trim("department").alias("department")
     ).where((F.col("_name") != "") & (F.col("department") != ""))

@@ -407,7 +407,9 @@ query("j12_ranked_budget", _RANKED_DEPT.format(n=15))(
 
 def _insights(e: Env) -> DataFrame:
     hourly = e.stored(e.hourly(), "hourly")
-    daily = e.stored(D.daily_costs(hourly, e.cfg), "daily")
+    # The columns that the report reads, without the running and moving figures.
+    used = ("usage_date", "warehouse_name", "compute_cost", "idle_cost", "total_cost")
+    daily = e.stored(D.daily_costs(hourly, e.cfg).select(*used), "daily")
     departments = DEP.cost_by_department(daily, e.inputs.department_map())
     return A.insights(daily, departments, e.inputs.budget(), e.estimates(hourly), e.cfg, 30)
 
