@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 from costmart.session import stage_table
 
 
+# Rows in an Arrow batch: whole texts are long, and two batches are held at a time.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors unless their Python finds it by the path they inherit."""
+    """Send this package to the executors unless their Python finds it by the path they inherit.
+
+    Arrow batches are made smaller where the session leaves their size at Spark's default.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = Path(__file__).resolve().parents[2]
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     if str(root) in {os.path.realpath(p) for p in known if p} or getattr(spark, "_costmart_shipped", False):

@@ -34,7 +34,7 @@ from costmart.session import stage_table
 
 # Bounds of the fit: labelled documents per class, features of the model, tokens with features that one
 # document contributes. They hold for the fit alone; every text is scored whole.
-SAMPLE_PER_CLASS = 6000
+SAMPLE_PER_CLASS = 3000
 MAX_FEATURES = 20_000
 SAMPLE_TOKENS = 400
 MIN_DOCS = 5
@@ -44,7 +44,7 @@ FOLDS = 5
 CONTEXT = 4
 SEGMENT = 64
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE = 1 << 18
+_CACHE = 1 << 17
 SCORE_SCHEMA = "score double, spans array<struct<start: long, end: long, probability: double>>"
 
 
