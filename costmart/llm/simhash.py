@@ -200,7 +200,10 @@ def groups(rows: DataFrame, code: str, doc_id: str, radius: int = RADIUS) -> Dat
     distinct = stage_table(rows.groupBy(F.col(code).alias("code")).agg(F.min(doc_id).alias("least")), "simhash-codes")
     roots = components(links(distinct.select("code"), radius))
     joined = distinct.join(roots, distinct["code"] == roots["node"], "left").withColumn("root", F.coalesce("root", "code"))
-    least = joined.groupBy("root").agg(F.min("least").alias("component"))
+    # Both sides stored: the join then has exchanges of its own, which adaptive execution splits where one
+    # group is hot; the aggregation combines before its shuffle.
+    joined = stage_table(joined.select("code", "root", "least"), "simhash-roots")
+    least = stage_table(joined.groupBy("root").agg(F.min("least").alias("component")), "simhash-least")
     return joined.select("code", "root").join(least, "root").select("code", "root", "component")
 
 
