@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from costmart.llm.frames import table
 from costmart.llm.words import encoder
-from costmart.session import scratch_path
+from costmart.session import scratch_path, stage_table
 
 END_ID = 1
 BLOCK = 2048
@@ -375,7 +375,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(zip(*rows), _PIECE)], schema=_PIECE)
 
-    pieces = frames.mapInArrow(run, PIECE_SCHEMA).join(starts, ["part", "frame"])
+    # Stored, so that the blocks are decoded once though two branches read the pieces.
+    pieces = stage_table(frames.mapInArrow(run, PIECE_SCHEMA), "token-pieces").join(starts, ["part", "frame"])
     pieces = pieces.withColumn("start", F.col("frame_start") + F.col("at"))
     whole = pieces.filter("whole").select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     # Documents that go over several frames: their sums are joined in order, without their ids.
