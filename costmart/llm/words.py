@@ -8,12 +8,15 @@ characters that some libraries count as blanks are encoded as a whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import lru_cache
 
 import numpy as np
 
+from costmart.llm.bpe import byte_letters
+
 # Pieces that each of the two generations of a worker's cache keeps.
 CACHE_PIECES = 1 << 18
 _LONGEST = 64
@@ -21,6 +24,8 @@ _LONGEST = 64
 _PIECE = re.compile("[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 _OTHER_BLANK = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _SPECIAL = re.compile(r"<\|(?:start|end)oftext\|>")
+# Plain pieces: one blank at most, Latin letters in composed form, then marks that no pattern joins to letters.
+_PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:|#*$%&]*)")
 
 
 class Encoder:
@@ -35,6 +40,23 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        # The library's model takes plain pieces directly, past the steps that split and normalize texts.
+        with open(path, encoding="utf-8") as source:
+            spec = json.load(source)
+        steps = [k["type"] for k in (spec["normalizer"] or {}).get("normalizers", [])]
+        self.folds = steps == ["NFC", "Replace", "Lowercase"]  # drops blanks, too
+        self.plain = _PLAIN if self.folds or spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" else None
+        self.letters = dict(enumerate(byte_letters()))
+        self.model = self.tokenizer.model
+
+    def _merge(self, piece: str) -> bytes:
+        """Ids of one word or one run of marks, by the library's model alone."""
+        if self.folds:
+            piece = piece.lstrip(" ").lower()
+        if not piece:
+            return b""
+        symbols = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(symbols)], "<u4").tobytes()
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -43,15 +65,32 @@ class Encoder:
         """Fill the gaps of out from the older generation, then from the tokenizer."""
         if len(self.known) > CACHE_PIECES:
             self.older, self.known = self.known, {}
-        gaps = [i for i, found in enumerate(out) if found is None]
-        missing = [p for p in dict.fromkeys(pieces[i] for i in gaps) if p not in self.older]
+        hard = []
+        for i, found in enumerate(out):
+            if found is None:
+                piece = pieces[i]
+                found = self.known.get(piece) or self.older.get(piece)
+                if found is None and self.plain and (parts := self.plain.fullmatch(piece)):
+                    word, marks = parts.groups()
+                    found = self.known.get(word) or self.older.get(word) or self._merge(word)
+                    if marks:
+                        self.known.setdefault(word, found)
+                        found += self.known.get(marks) or self.known.setdefault(marks, self._merge(marks))
+                if found is None:
+                    hard.append(i)
+                else:
+                    self._keep(piece, found)
+                    out[i] = found
+        missing = list(dict.fromkeys(pieces[i] for i in hard))
         encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
         new = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(missing, encoded)}
-        for i in gaps:
-            piece = pieces[i]
-            found = out[i] = new.get(piece) or self.older.get(piece) or b""
-            if len(piece) <= _LONGEST:
-                self.known[piece] = found
+        for i in hard:
+            out[i] = new[pieces[i]]
+            self._keep(pieces[i], out[i])
+
+    def _keep(self, piece: str, found: bytes) -> None:
+        if len(piece) <= _LONGEST:
+            self.known[piece] = found
 
     def ids(self, text: str) -> bytes:
         if _OTHER_BLANK.search(text) or _SPECIAL.search(text):
