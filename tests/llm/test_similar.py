@@ -1,0 +1,81 @@
+import random
+import re
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from conftest import DATA
+
+from costmart.llm import simhash as S
+from costmart.llm import similar as N
+from costmart.session import stage_table
+
+
+def slow_set(text):
+    lowered = re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_roots(texts: dict) -> dict:
+    """The least id that each id reaches over all pairs."""
+    sets, root = {i: slow_set(t) for i, t in texts.items()}, {i: i for i in texts}
+    for i in sorted(texts):
+        for j in sorted(texts):
+            union = len(sets[i] | sets[j])
+            if j < i and 5 * len(sets[i] & sets[j]) >= 4 * union and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    return root
+
+
+def altered():
+    """Groups around originals at many similarities, chains, and a group of copies of one original only."""
+    rnd, texts = random.Random(3), []
+    word = lambda: f"w{rnd.randrange(5000)}"
+    for changes in range(1, 12):
+        base = [word() for _ in range(200)]
+        texts.append(base)
+        for _ in range(4):
+            copy = list(base)
+            for at in rnd.sample(range(200), changes):
+                copy[at] = word()
+            texts.append(copy)
+    chain = [word() for _ in range(300)]
+    for _ in range(8):
+        texts.append(list(chain))
+        chain = chain[10:] + [word() for _ in range(10)]
+    rnd.shuffle(texts)
+    return {i: " ".join(t) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("limit", [N.BLOCK_LIMIT, 3])
+def test_groups_equal_all_pairs(spark, limit):
+    texts = altered()
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").select("doc_id", "text", N.profiles(N.F.col("text")).alias("p"))
+    rows = stage_table(rows.select("doc_id", "text", "p.*"), "similar-test")
+    root = {r.code: r.root for r in N.groups(rows.drop("doc_id"), limit).collect()}
+    found: dict = {}
+    for r in rows.collect():
+        found.setdefault(root[r.code], set()).add(r.doc_id)
+    want: dict = {}
+    for i, r in slow_roots(texts).items():
+        want.setdefault(r, set()).add(i)
+    assert 1 < len(want) < len(texts)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+
+
+def test_stage_keeps_one_of_each_similar_group(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    root = slow_roots({d.doc_id: d.text for d in docs.collect()})
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, DATA).collect()}
+    assert kept == set(root.values())
+    assert root[177] == 1  # similarity 0.83, fingerprints nine bits apart
+
+
+def test_shingles_are_whole_texts_in_any_length():
+    long = " ".join(f"w{i}" for i in range(N._STEP + 70))
+    assert len(N.shingles(long)) == N._STEP + 66 and len(N.buckets(N.shingles(long))) == N.BANDS
+    assert N.buckets(N.shingles(" \t")) == [] and len(N.shingles("a b c")) == 1
+    assert np.array_equal(N.shingles("A b c d e"), N.shingles("a  B\tc d\ne"))
+    assert S.fingerprint("A b c d e") == S.fingerprint("a b c d e")
