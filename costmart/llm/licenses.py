@@ -5,8 +5,8 @@ every three in a row the least is kept, so any stretch of five equal words share
 templates' fingerprints form an inverted index of bounded size, which goes to the executors with the
 code; each text looks its own fingerprints up where it is. Hits near one diagonal are a candidate, and
 a banded local alignment of the whole template around that diagonal gives the matched words, their share
-of the template (coverage) and the span in the text. Matches that cover at least `COVERAGE` are reported,
-except those inside a longer one.
+of the template (coverage) and the span in the text. Matches that cover at least `COVERAGE` and hold the
+template's decisive words (name, version, NC/SA/ND) unbroken are reported, except those inside a longer one.
 
 Defined results: NULL, empty and blank texts have no match. Repeated rows are each reported. A text may
 match several templates, and one template several times. Offsets count code points. Extra columns are
@@ -111,6 +111,31 @@ TEMPLATES = {
     ),
 }
 
+# Siblings of the notices above, which differ in the decisive words only.
+for _name, _words in {"CC-BY-SA-4.0": "ShareAlike", "CC-BY-NC-4.0": "NonCommercial", "CC-BY-ND-4.0": "NoDerivatives", "CC-BY-NC-SA-4.0": "NonCommercial-ShareAlike", "CC-BY-NC-ND-4.0": "NonCommercial-NoDerivatives"}.items():
+    TEMPLATES[_name] = TEMPLATES["CC-BY-4.0"].replace("Attribution", f"Attribution-{_words}")
+TEMPLATES["GPL-2.0"] = TEMPLATES["GPL-3.0"].replace("version 3", "version 2")
+TEMPLATES["GPL-2.0-notice"] = TEMPLATES["GPL-3.0-notice"].replace("version 3", "version 2")
+
+# Words that tell a license from its siblings: they stand in every match, side by side, with nothing between.
+DECISIVE = {
+    "MIT-notice": ("mit license",),
+    "Apache-2.0": ("apache license version 2 0",),
+    "Apache-2.0-notice": ("apache license version 2 0",),
+    "GPL-2.0": ("gnu general public license", "version 2"),
+    "GPL-2.0-notice": ("gnu general public license version 2",),
+    "GPL-3.0": ("gnu general public license", "version 3"),
+    "GPL-3.0-notice": ("gnu general public license version 3",),
+    "MPL-2.0": ("mozilla public license v 2 0",),
+    "CC-BY-4.0": ("commons attribution 4 0",),
+    "CC-BY-SA-4.0": ("commons attribution sharealike 4 0",),
+    "CC-BY-NC-4.0": ("commons attribution noncommercial 4 0",),
+    "CC-BY-ND-4.0": ("commons attribution noderivatives 4 0",),
+    "CC-BY-NC-SA-4.0": ("commons attribution noncommercial sharealike 4 0",),
+    "CC-BY-NC-ND-4.0": ("commons attribution noncommercial noderivatives 4 0",),
+    "CC-BY-NC-4.0-notice": ("cc by nc 4 0",),
+}
+
 _RESULT = pa.schema(
     [("doc_id", pa.int64()), ("license_id", pa.string()), ("coverage", pa.float64()), ("matched_words", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]
 )
@@ -139,6 +164,7 @@ class Scanner:
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
+        self.texts = list(templates.values())
         self.words = [_TOKEN.findall(t.lower()) for t in templates.values()]
         for name, words in zip(self.names, self.words):
             if len(words) < SHINGLE + WINDOW - 1:
@@ -180,6 +206,14 @@ class Scanner:
                 last = (t, diagonal)
                 yield last
 
+    def decided(self, t: int, words: list[str]) -> bool:
+        """Whether the matched words hold all that is decisive for a built-in template."""
+        name = self.names[t]
+        if self.texts[t] != TEMPLATES.get(name):
+            return True
+        flat = f" {' '.join(words)} "
+        return all(f" {phrase} " in flat for phrase in DECISIVE.get(name, ()))
+
     def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
         """(license, coverage, matched words, start, end) of each match in a whole text."""
         lowered = (text or "").lower()
@@ -189,7 +223,7 @@ class Scanner:
         found = []
         for t, diagonal in self.candidates(words):
             matched, first, last = align(self.words[t], words, diagonal)
-            if matched >= COVERAGE * len(self.words[t]):
+            if matched >= COVERAGE * len(self.words[t]) and self.decided(t, words[first : last + 1]):
                 found.append((first, last, t, matched))
         if not found:
             return []

@@ -46,3 +46,16 @@ def test_query_finds_every_planted_notice(spark, odd, none):
     want = {d.doc_id for d in docs if any(m in (d.text or "").lower() for m in marks)}
     assert want and {r.doc_id for r in L.query(spark, DATA).collect()} == want
     assert L.scan_documents(odd).count() == 0 and L.scan_documents(none).count() == 0
+
+
+def test_siblings_are_not_reported_under_a_wrong_id():
+    scanner = L.Scanner(L.TEMPLATES)
+    names = lambda text: {m[0] for m in scanner.scan("Some words. " + text + " More words.")}
+    by = "This work is licensed under a Creative Commons Attribution"
+    assert names(f"{by}-NonCommercial-ShareAlike 4.0 International License") == {"CC-BY-NC-SA-4.0"}
+    assert names(f"{by}-ShareAlike 4.0 International License") == {"CC-BY-SA-4.0"}
+    assert names(f"{by} 3.0 Unported License") == set()
+    assert names("This work is licensed under the GNU General Public License, version 2") == {"GPL-2.0-notice"}
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3") == set()
+    assert names("Licensed under CC BY-NC-SA 4.0") == set() and names("Licensed under CC BY-NC 4.0") == {"CC-BY-NC-4.0-notice"}
+    assert names(L.TEMPLATES["GPL-3.0"].replace("version 3", "version 2")) == {"GPL-2.0"}
