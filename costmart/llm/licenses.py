@@ -3,7 +3,8 @@
 Templates and texts are lower-cased word sequences. Hashes of three consecutive words are winnowed: of
 every three in a row the least is kept, so any stretch of five equal words shares a fingerprint. The
 templates' fingerprints form an inverted index of bounded size, which goes to the executors with the
-code; each text looks its own fingerprints up where it is. Hits near one diagonal are a candidate, and
+code; each text looks its own fingerprints up where it is. Hits near one diagonal are a candidate, as are hits
+that follow one another across diagonals, where words are inserted all along the text; and
 a banded local alignment of the whole template around that diagonal gives the matched words, their share
 of the template (coverage) and the span in the text. Matches that cover at least `COVERAGE` and hold the
 template's decisive words (name, version, NC/SA/ND) unbroken are reported, except those inside a longer one.
@@ -19,6 +20,8 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -191,16 +194,19 @@ class Scanner:
                     out[i] = known[words[i]] = zlib.crc32(raw) << 32 | zlib.adler32(raw)
         return np.array(out, np.uint64)
 
-    def candidates(self, words: list[str]) -> Iterator[tuple[int, int]]:
-        """(template, diagonal) of each stretch of hits; a diagonal is text place minus template place."""
+    def hits(self, words: list[str]) -> list[tuple[int, int, int]]:
+        """(template, diagonal, template place) of each shared fingerprint, sorted; a diagonal is text place minus template place."""
         if not len(self.hashes):
-            return
+            return []
         hashes, places = winnow(self.numbers(words))
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         hit = np.flatnonzero(self.hashes[at] == hashes)
-        found = [(t, int(places[i]) - p) for i in hit.tolist() for t, p in self.postings[int(hashes[i])]]
+        return sorted((t, int(places[i]) - p, p) for i in hit.tolist() for t, p in self.postings[int(hashes[i])])
+
+    def candidates(self, hits: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+        """(template, diagonal) of each stretch of hits."""
         last = None
-        for t, diagonal in sorted(found):
+        for t, diagonal, _ in hits:
             # Diagonals within half a band of the last candidate are covered by its alignment.
             if last is None or last[0] != t or diagonal - last[1] > BAND // 2:
                 last = (t, diagonal)
@@ -221,14 +227,18 @@ class Scanner:
         if len(words) < SHINGLE:
             return []
         found = []
-        for t, diagonal in self.candidates(words):
-            matched, first, last = align(self.words[t], words, diagonal)
+        hits = self.hits(words)
+        aligned = [(t, align(self.words[t], words, diagonal)) for t, diagonal in self.candidates(hits)]
+        # Inserted words move a license from diagonal to diagonal: its hits are also followed across them.
+        for t, own in groupby(hits, key=itemgetter(0)):
+            aligned += [(t, align(self.words[t], words, centres)) for centres in chains([h[1:] for h in own], len(self.words[t]))]
+        for t, (matched, first, last) in aligned:
             if matched >= COVERAGE * len(self.words[t]) and self.decided(t, words[first : last + 1]):
                 found.append((first, last, t, matched))
         if not found:
             return []
-        # Longest first; what lies inside a kept match is part of it.
-        found.sort(key=lambda m: (m[0] - m[1], -m[3] / len(self.words[m[2]]), m[0], m[2]))
+        # Longest first, then most words matched; what lies inside a kept match is part of it.
+        found.sort(key=lambda m: (m[0] - m[1], -m[3], -m[3] / len(self.words[m[2]]), m[0], m[2]))
         kept: list = []
         for m in found:
             if not any(k[0] <= m[0] and m[1] <= k[1] for k in kept):
@@ -249,11 +259,58 @@ class Scanner:
         return out
 
 
-def align(template: list[str], words: list[str], diagonal: int) -> tuple[int, int, int]:
+def chains(hits: list[tuple[int, int]], size: int) -> Iterator[list[tuple[int, int]]]:
+    """For hits (diagonal, place) of one template, the bands (least, greatest diagonal) per template word of each chain.
+
+    A chain is a run of hits that rise in text and template, scored as an alignment is: equal words gain 2, a
+    change of diagonal loses 1 a word. The best chain is taken first, then the best of the hits that are left.
+    Chains that stay within one band are left to the plain alignment.
+    """
+    if not hits or hits[-1][0] - hits[0][0] <= BAND // 2:
+        return
+    ordered = np.array(sorted((d + p, p) for d, p in hits), np.int64)
+    ats, marks = ordered[:, 0], ordered[:, 1]
+    score, earlier = np.full(len(ordered), 2 * SHINGLE, np.int64), np.full(len(ordered), -1)
+    # A gap longer than twice the template costs more than all its words can gain.
+    begins, ends = np.searchsorted(ats, ats - 2 * size), np.searchsorted(ats, ats)
+    for i, (low, high) in enumerate(zip(begins.tolist(), ends.tolist())):
+        if low < high:
+            far, up = ats[i] - ats[low:high], marks[i] - marks[low:high]
+            gained = score[low:high] + 2 * np.minimum(np.minimum(far, up), SHINGLE) - np.abs(far - up)
+            gained[up <= 0] = -1
+            best = int(gained.argmax())
+            if gained[best] > score[i]:
+                score[i], earlier[i] = gained[best], low + best
+    taken = np.zeros(len(ordered), bool)
+    for i in np.argsort(-score, kind="stable").tolist():
+        chain = []
+        while i >= 0 and not taken[i]:
+            taken[i] = True
+            chain.append((int(ats[i]), int(marks[i])))
+            i = int(earlier[i])
+        if not chain:
+            continue
+        chain.reverse()
+        diagonals = [at - place for at, place in chain]
+        if max(diagonals) - min(diagonals) <= BAND // 2:
+            continue
+        bands, nth = [], 0
+        for i in range(size):
+            while nth + 1 < len(chain) and chain[nth + 1][1] <= i:
+                nth += 1
+            near = diagonals[max(0, nth - 1) : nth + 2]
+            bands.append((min(near), max(near)))
+        yield bands
+
+
+def align(template: list[str], words: list[str], diagonal: int | list[tuple[int, int]]) -> tuple[int, int, int]:
     """(equal words, first and last word of the span) of the best local alignment within the band.
 
-    Equal words gain 2, others and gaps lose 1. A cell holds score, equal words and where it began.
+    Equal words gain 2, others and gaps lose 1. A cell holds score, equal words and where it began. The band
+    lies around one diagonal, or around the least and greatest diagonal given for each template word.
     """
+    if not isinstance(diagonal, int):
+        return _align_moving(template, words, diagonal)
     width = 2 * BAND + 1
     none = (0, 0, -1)
     row, best = [none] * width, (0, 0, -1, -1)
@@ -280,6 +337,29 @@ def align(template: list[str], words: list[str], diagonal: int) -> tuple[int, in
     return best[1], best[2], best[3]
 
 
+def _align_moving(template: list[str], words: list[str], bands: list[tuple[int, int]]) -> tuple[int, int, int]:
+    none = (0, 0, -1)
+    row: dict[int, tuple[int, int, int]] = {}
+    best = (0, 0, -1, -1)
+    for i, (w, (low, high)) in enumerate(zip(template, bands)):
+        left, new = none, {}
+        for j in range(max(0, i + low - BAND), min(len(words), i + high + BAND + 1)):
+            s, m, begin = row.get(j - 1, none)
+            cell = (s + 2, m + 1, begin if s else j) if w == words[j] else (s - 1, m, begin)
+            for s, m, begin in (row.get(j, none), left):
+                if s - 1 > cell[0]:
+                    cell = (s - 1, m, begin)
+            if cell[0] <= 0:
+                cell = none
+            else:
+                new[j] = cell
+                if cell[0] > best[0]:
+                    best = (*cell, j)
+            left = cell
+        row = new
+    return best[1], best[2], best[3]
+
+
 def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """One row per match: doc_id, license_id, coverage, matched_words, start, end."""
     chosen = TEMPLATES if templates is None else templates

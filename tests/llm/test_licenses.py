@@ -59,3 +59,14 @@ def test_siblings_are_not_reported_under_a_wrong_id():
     assert names("This work is licensed under the GNU Lesser General Public License, version 3") == set()
     assert names("Licensed under CC BY-NC-SA 4.0") == set() and names("Licensed under CC BY-NC 4.0") == {"CC-BY-NC-4.0-notice"}
     assert names(L.TEMPLATES["GPL-3.0"].replace("version 3", "version 2")) == {"GPL-2.0"}
+
+
+def test_licenses_with_a_word_inserted_per_line_are_found():
+    scanner = L.Scanner(L.TEMPLATES)
+    for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0"):
+        words = L.TEMPLATES[name].split()
+        for mark in ("REM", "dnl note"):
+            text = "Before it.\n" + "\n".join(f"{mark} " + " ".join(words[i : i + 8]) for i in range(1, len(words), 8)) + "\nAfter it."
+            found = scanner.scan(text)
+            assert [m[0] for m in found] == [name], (name, mark, found)
+            assert found[0][1] > 0.9
