@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costmart.llm import ann, bpe, licenses, packing, quality, sharding, simhash, tokenfile, toxicity, warc
+from costmart.llm import alignment, ann, bpe, licenses, packing, quality, sharding, simhash, tokenfile, toxicity, warc
 from costmart.llm.frames import ship_package
 
 
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jump_shards": sharding.query,
     "op10_range_coder": _shipped(tokenfile.query),
     "op9_collision_ann": _shipped(ann.query),
+    "op11_fragment_alignment": _shipped(alignment.query),
 }
 
 ORACLES: dict[str, str] = {
