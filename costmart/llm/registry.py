@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costmart.llm import alignment, ann, bpe, licenses, packing, quality, sharding, simhash, tokenfile, toxicity, warc, winnowing
+from costmart.llm import alignment, ann, bpe, codebooks, licenses, packing, quality, sharding, simhash, tokenfile, toxicity, warc, winnowing
 from costmart.llm.frames import ship_package
 
 
@@ -31,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_collision_ann": _shipped(ann.query),
     "op11_fragment_alignment": _shipped(alignment.query),
     "op12_winnowing": _shipped(winnowing.query),
+    "op13_active_lloyd": _shipped(codebooks.query),
 }
 
 ORACLES: dict[str, str] = {
     "op5_warc_revisits": warc.ORACLE,
     "op8_jump_shards": sharding.ORACLE,
     "op12_winnowing": winnowing.ORACLE,
+    "op13_active_lloyd": codebooks.ORACLE,
 }
