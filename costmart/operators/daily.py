@@ -113,15 +113,24 @@ def change_from(cost: Column, rows: int) -> Column:
     return cost - F.lag(cost, rows).over(_by_day())
 
 
-def daily_costs(hourly: DataFrame, cfg: Config) -> DataFrame:
+def daily_rows(hourly: DataFrame) -> DataFrame:
+    return daily_efficiency(daily_rollup(hourly))
+
+
+def daily_trends(rows: DataFrame, cfg: Config) -> DataFrame:
+    """Running and moving figures over one row per warehouse and day, some of which may only be carried."""
     cost = F.col("total_cost")
+    carried = "_carried" in rows.columns
     trends = (
-        daily_efficiency(daily_rollup(hourly))
-        .withColumn("cost_7day_avg", moving_average_7(cost))
+        rows.withColumn("cost_7day_avg", moving_average_7(cost))
         .withColumn("day_over_day_change", change_from(cost, 1))
         .withColumn("week_over_week_change", change_from(cost, 7))
-        .withColumn("month_to_date_cost", month_to_date(cost))
+        .withColumn("month_to_date_cost", month_to_date(F.col("_month_value") if carried else cost))
         .withColumn("daily_cost_key", X.surrogate_key(F.col("usage_date"), F.col("warehouse_name")))
         .withColumn("_loaded_at", X.load_stamp(cfg))
     )
-    return enforce_contract(trends, DAILY_CONTRACT)
+    return enforce_contract(trends.where("NOT _carried") if carried else trends, DAILY_CONTRACT)
+
+
+def daily_costs(hourly: DataFrame, cfg: Config) -> DataFrame:
+    return daily_trends(daily_rows(hourly), cfg)

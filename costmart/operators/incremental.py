@@ -16,8 +16,14 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 
 from costmart.config import Config
 from costmart.functions import exprs as X
+from costmart.operators import keyindex
 from costmart.operators.hourly import hourly_costs
 from costmart.session import scratch_path
+from costmart.sources import files
+from costmart.sources.files import delete as _delete
+from costmart.sources.files import exists as table_stored
+from costmart.sources.files import move as _move
+from costmart.sources.files import save_schema, stored_table
 from costmart.sources.writers import laid_out, read_table, write_table
 
 EPOCH = datetime(1970, 1, 1)
@@ -141,12 +147,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, newest_first: list[str
     return kept.unionByName(fresh)
 
 
-def stored_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table under its own schema: the union of its files' columns, whatever a batch holds."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
-def _on(partition_by: str, dates: list) -> Column:
+def on_dates(partition_by: str, dates: list) -> Column:
     """Rows of the given dates, None among them meaning rows without a date."""
     known = [d for d in dates if d is not None]
     wanted = F.col(partition_by).isin(known) if known else F.lit(False)
@@ -167,14 +168,17 @@ def upsert_table(
     """Merge a batch into a table stored by date, rewriting only the dates it touches.
 
     The touched dates are those of the batch and, unless the key fixes the date, those where the target
-    already holds one of its keys (found from two columns of the target). Rows without a date are a date
+    already holds one of its keys (found in the table's key index). Rows without a date are a date
     of their own. Merged rows are written once, beside the table and in its layout, and moved into place.
-    The target is read under its own schema, so a changed batch is seen: `fail` raises, `sync` keeps
-    the columns of both. One writer per table.
+    The target is read under its noted schema, so a changed batch is seen: `fail` raises, `sync` keeps
+    the columns of both. The touched dates are noted for the tables behind this one (`changed_dates`).
+    One writer per table.
     """
     finish_pending(spark, path)
     if not table_stored(spark, path):
-        return write_table(latest_per_key(batch, key, newest_first), path, partition_by, sort_by)
+        out = write_table(latest_per_key(batch, key, newest_first), path, partition_by, sort_by)
+        note_changes(spark, path, None)
+        return out
     target = stored_table(spark, path)
     sync_schema(target, batch, policy)
     # Staged once: the batch is read for the dates, the keys and the rows.
@@ -183,17 +187,58 @@ def upsert_table(
     fresh = read_table(spark, batch_path, batch.schema)
     touched = fresh.select(partition_by)
     if not key_implies_partition:
-        keys = fresh.select(key).where(F.col(key).isNotNull())
-        touched = touched.unionByName(target.select(key, partition_by).join(keys, key, "left_semi").select(partition_by))
+        finish_pending(spark, keyindex.index_path(path))
+        keyindex.ensure_index(spark, path, target, key, partition_by)
+        touched = touched.unionByName(keyindex.dates_of_keys(spark, path, target, fresh, key, partition_by))
     # At most one value per calendar date.
     dates = [r[0] for r in touched.distinct().collect()]
     if not dates:
         return target
-    kept, fresh = sync_schema(not_replaced(target.where(_on(partition_by, dates)), fresh, key), fresh)
+    kept, fresh = sync_schema(not_replaced(target.where(on_dates(partition_by, dates)), fresh, key), fresh)
+    if not key_implies_partition:
+        keyindex.append_keys(spark, path, fresh, key, partition_by)
+    note_changes(spark, path, dates)
     replace_dates(spark, path, kept.unionByName(fresh), dates, partition_by, sort_by)
+    if not key_implies_partition and (buckets := keyindex.crowded(spark, path)):
+        index = keyindex.read_index(spark, path, target, key, partition_by, buckets).distinct().repartition("_bucket")
+        replace_dates(spark, keyindex.index_path(path), index, buckets, "_bucket", None)
     return stored_table(spark, path)
 
 
+# ---- change feed --------------------------------------------------------------------------------
+
+_ALL = "all"
+
+
+def _changes_note(path: str) -> str:
+    return f"{path.rstrip('/')}/_changed.json"
+
+
+def note_changes(spark: SparkSession, path: str, dates: list | None) -> None:
+    """Add dates to those a table has changed since its readers last took them; None stands for all.
+
+    Noted before the table changes, so dates are told even if the run dies before its readers ran.
+    """
+    noted = files.read_note(spark, _changes_note(path), [])
+    if dates is not None and noted != _ALL:
+        files.write_note(spark, _changes_note(path), sorted({*noted, *("" if d is None else str(d) for d in dates)}))
+    elif noted != _ALL:
+        files.write_note(spark, _changes_note(path), _ALL)
+
+
+def changed_dates(spark: SparkSession, path: str) -> list | None:
+    """Dates noted as changed, None among them for rows without a date; None for all dates."""
+    noted = files.read_note(spark, _changes_note(path), [])
+    if noted == _ALL:
+        return None
+    return [date.fromisoformat(d) if d else None for d in noted]
+
+
+def take_changes(spark: SparkSession, path: str) -> None:
+    """Forget the noted dates; to be called when all tables behind this one are up to date."""
+    _delete(spark, _changes_note(path))
+
+
 PENDING = StructType().add("merged_path", "string").add("dates", ArrayType(StringType()))
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # the directory of rows without a partition value
 
@@ -206,6 +251,7 @@ def replace_dates(spark: SparkSession, path: str, merged: DataFrame, dates: list
     """
     merged_path = f"{path.rstrip('/')}.merged-{uuid.uuid4().hex}"
     laid_out(merged, partition_by, sort_by).write.partitionBy(partition_by).parquet(merged_path)
+    save_schema(spark, path, merged.schema)  # columns that are new read as NULL until the rows are there
     folders = [f"{partition_by}={_NO_DATE if d is None else d}" for d in dates]
     note = spark.createDataFrame([(merged_path, folders)], PENDING)
     note.coalesce(1).write.mode("overwrite").json(_note_path(path))
@@ -226,6 +272,12 @@ def finish_pending(spark: SparkSession, path: str) -> None:
     if not table_stored(spark, f"{note_path}/_SUCCESS"):
         return
     note = spark.read.schema(PENDING).json(note_path).first()
+    if note.dates == [_WHOLE]:
+        if table_stored(spark, note.merged_path):
+            _delete(spark, path)
+            _move(spark, note.merged_path, path)
+        _delete(spark, note_path)
+        return
     listed = f"{note_path}/filled"
     if not table_stored(spark, f"{listed}/_SUCCESS"):
         filled = [f for f in note.dates if table_stored(spark, f"{note.merged_path}/{f}")]
@@ -241,31 +293,32 @@ def finish_pending(spark: SparkSession, path: str) -> None:
     _delete(spark, note.merged_path)
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    system = hadoop(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.rename(hadoop(source), hadoop(target)):
-        raise OSError(f"{source} could not be moved to {target}")
-
+_WHOLE = "*"  # stands for all folders of a table in a note
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Replace a small unpartitioned table that `df` itself reads.
 
-def table_stored(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    Written beside it and noted, then moved into its place; a run that dies in between is finished by the next.
+    """
+    merged_path = f"{path.rstrip('/')}.merged-{uuid.uuid4().hex}"
+    write_table(df, merged_path)
+    if (noted := files.read_note(spark, _changes_note(path))) is not None:
+        files.write_note(spark, _changes_note(merged_path), noted)
+    spark.createDataFrame([(merged_path, [_WHOLE])], PENDING).coalesce(1).write.mode("overwrite").json(_note_path(path))
+    finish_pending(spark, path)
+    return stored_table(spark, path)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Replace a small unpartitioned table that `df` itself reads: write beside it, then swap."""
-    beside = scratch_path(spark, "replace")
-    df.write.parquet(beside)
-    return write_table(read_table(spark, beside, df.schema), path)
+# ---- repair of older targets --------------------------------------------------------------------
 
+def has_missing(spark: SparkSession, path: str, columns: list[str]) -> bool:
+    """Whether a stored table lacks any of the columns, or a value in one: a scan that stops at the first."""
+    target = stored_table(spark, path)
+    if not set(columns) <= set(target.columns):
+        return True
+    return target.where(reduce(or_, [F.col(c).isNull() for c in columns])).limit(1).count() > 0
 
-# ---- repair of older targets --------------------------------------------------------------------
 
 def repair_table(
     spark: SparkSession,
@@ -291,7 +344,9 @@ def repair_table(
     before = target.where(lacking).withColumns(was).withColumn("_old_date", F.col(partition_by))
     found = fix(before).where(filled).select(F.explode(F.array("_old_date", partition_by))).distinct().collect()
     if dates := [r[0] for r in found]:  # at most one per calendar date
-        replace_dates(spark, path, fix(target.where(_on(partition_by, dates))), dates, partition_by, sort_by)
+        keyindex.drop_index(spark, path)  # filled dates are not in it; the next merge builds it anew
+        note_changes(spark, path, dates)
+        replace_dates(spark, path, fix(target.where(on_dates(partition_by, dates))), dates, partition_by, sort_by)
 
 
 def backfill(target: DataFrame, sources: tuple[str, ...] = ("end_time", "hour_end", "hour_start")) -> DataFrame:
@@ -329,12 +384,24 @@ def backfill_warehouse_id(target: DataFrame, staged_metering: DataFrame) -> Data
 # ---- incremental marts --------------------------------------------------------------------------
 
 def hourly_costs_incremental(
-    staged_metering: DataFrame, staged_queries: DataFrame, target: DataFrame, cfg: Config, partition_by: str | None = None
+    staged_metering: DataFrame,
+    staged_queries: DataFrame,
+    target: DataFrame,
+    cfg: Config,
+    partition_by: str | None = None,
+    changed: list | None = (),
 ) -> DataFrame:
-    """Hourly rows to merge: one mark bounds both inputs before they are aggregated and joined."""
+    """Hourly rows to merge: one mark bounds both inputs before they are aggregated and joined.
+
+    Dates that the inputs have `changed` (None: all) are computed again, too, however old they are.
+    """
     mark = choose_watermark(target, HOURLY_WATERMARKS)
     top = high_water_mark(target, mark.column, partition_by) if mark else None
     bound = top - mark.lookback if top else EPOCH
     # The date is implied by the hour; naming it lets tables laid out by date skip directories.
     since = (F.col("usage_date") >= F.lit(bound.date())) & (F.col("usage_hour_ntz") >= F.lit(bound).cast("timestamp_ntz"))
+    if changed is None:
+        since = F.lit(True)
+    elif changed:
+        since = since | on_dates("usage_date", list(changed))
     return hourly_costs(staged_metering.where(since), staged_queries.where(since), cfg)

@@ -96,15 +96,21 @@ def spenders_daily(base: DataFrame) -> DataFrame:
 
 
 def top_spenders(base: DataFrame) -> DataFrame:
+    return ranked_spenders(stage_table(spenders_daily(base), "spenders"))
+
+
+def ranked_spenders(rows: DataFrame) -> DataFrame:
     """Ranks within the day, shares of the day and a 7-row rolling cost per user.
 
     A day may hold any number of users, so nothing sorts or buffers one. The three measures become rows
     (day and measure, value), whose distinct values are counted and ranked together; each rank comes back
     by a join on its value, and day totals by an aggregation. Ties and NULLs included, this is exact.
 
-    The user-day rows are stored first, and so are the ranks: both are read by several branches.
+    `rows`, one per user and day, are stored, and so are the ranks: both are read by several branches. Rows
+    that are only carried for the rolling cost are neither ranked nor returned.
     """
-    spenders = stage_table(spenders_daily(base), "spenders")
+    carried = "_carried" in rows.columns
+    spenders = rows.where("NOT _carried").drop("_carried", "_month_value") if carried else rows
     ranked_by = {
         "rank_by_query_count": sortable(F.col("query_count")),
         "rank_by_runtime": sortable(F.col("total_runtime_seconds"), 3, nulls="first"),
@@ -120,7 +126,8 @@ def top_spenders(base: DataFrame) -> DataFrame:
     )
     # One row per user and calendar day.
     last_7 = W.partitionBy("user_name").orderBy("usage_date").rowsBetween(-6, 0)
-    rolling = spenders.withColumn("rolling_7d_cost_usd", F.sum("estimated_cost_usd").over(last_7).cast(COST))
+    rolling = rows.withColumn("rolling_7d_cost_usd", F.sum("estimated_cost_usd").over(last_7).cast(COST))
+    rolling = rolling.where("NOT _carried") if carried else rolling
     # One row per calendar date; Spark broadcasts it by its measured size.
     totals = spenders.groupBy(F.col("usage_date").alias("_day")).agg(
         F.sum("query_count").alias("_day_queries"), F.sum("estimated_cost_usd").cast(COST).alias("_day_cost")

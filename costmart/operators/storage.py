@@ -29,13 +29,20 @@ STORAGE_CONTRACT = schema_of(
     storage_cost_30day_avg="decimal(38,9)",
 )
 
-def daily_storage_costs(staged: DataFrame, cfg: Config) -> DataFrame:
+def storage_rows(staged: DataFrame) -> DataFrame:
+    """Staged rows with their bytes in all."""
+    active, failsafe, stage = (F.col(f"avg_{p}_bytes") for p in ("database", "failsafe", "stage"))
+    return staged.withColumn("_total", (active + failsafe + stage).cast("decimal(38,0)"))
+
+
+def storage_trends(rows: DataFrame, cfg: Config) -> DataFrame:
     """Volumes, cost parts, month-to-date cost and 30-row average.
 
     Running figures add up bytes and price the sum, so nine decimals carry one rounding only.
     """
     active, failsafe, stage = (F.col(f"avg_{p}_bytes") for p in ("database", "failsafe", "stage"))
-    total = (active + failsafe + stage).cast("decimal(38,0)")
+    total = F.col("_total")
+    carried = "_carried" in rows.columns
     # One row per database and calendar day; the month window reuses the database's exchange.
     last_30 = W.partitionBy("database_name").orderBy("usage_date").rowsBetween(-29, 0)
     month = (
@@ -44,10 +51,10 @@ def daily_storage_costs(staged: DataFrame, cfg: Config) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, 0)
     )
     trends = (
-        staged.withColumn("_total", total)
-        .withColumn("_avg_bytes", F.sum("_total").over(last_30))
+        rows.withColumn("_avg_bytes", F.sum("_total").over(last_30))
         .withColumn("_avg_days", X.whole(F.count("_total").over(last_30)))
-        .withColumn("_mtd_bytes", F.sum("_total").over(month))
+        .withColumn("_mtd_bytes", F.sum("_month_value" if carried else "_total").over(month))
+        .where(~F.col("_carried") if carried else F.lit(True))
         .select(
             X.surrogate_key(F.col("database_name"), F.col("usage_date")).alias("daily_storage_key"),
             "usage_date",
@@ -66,3 +73,7 @@ def daily_storage_costs(staged: DataFrame, cfg: Config) -> DataFrame:
         )
     )
     return enforce_contract(trends, STORAGE_CONTRACT)
+
+
+def daily_storage_costs(staged: DataFrame, cfg: Config) -> DataFrame:
+    return storage_trends(storage_rows(staged), cfg)

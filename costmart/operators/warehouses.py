@@ -28,27 +28,54 @@ def last_metered(staged_metering: DataFrame) -> DataFrame:
     )
 
 
+def size_uses(staged_queries: DataFrame, *by: str) -> DataFrame:
+    """Last use of each size of a warehouse, by date if asked to."""
+    return (
+        staged_queries.where(F.col("warehouse_size").isNotNull())
+        .groupBy(*by, "warehouse_name", X.size_label(F.col("warehouse_size")).alias("warehouse_size"))
+        .agg(F.max("end_time").alias("last_use"))
+    )
+
+
+def meter_hours(staged_metering: DataFrame) -> DataFrame:
+    """Last metered hour of each warehouse and date."""
+    return staged_metering.groupBy("usage_date", "warehouse_id", "warehouse_name").agg(F.max("usage_hour_ntz").alias("usage_hour_ntz"))
+
+
 def latest_size(staged_queries: DataFrame) -> DataFrame:
     """Size seen last per warehouse: latest hour, then latest end time, then label.
 
     The log is first reduced to the last use of each (warehouse, size) by a hash aggregation; the
     window then ranks a handful of sizes per warehouse instead of sorting its statements.
     """
-    last_use = (
-        staged_queries.where(F.col("warehouse_size").isNotNull())
-        .groupBy("warehouse_name", X.size_label(F.col("warehouse_size")).alias("warehouse_size"))
-        .agg(F.max("end_time").alias("_last_use"))
-    )
-    newest = W.partitionBy("warehouse_name").orderBy(F.desc("_last_use"), F.asc("warehouse_size"))
+    return newest_size(size_uses(staged_queries))
+
+
+def newest_size(uses: DataFrame) -> DataFrame:
+    newest = W.partitionBy("warehouse_name").orderBy(F.desc("last_use"), F.asc("warehouse_size"))
     return (
-        last_use.withColumn("_n", F.row_number().over(newest))
+        uses.withColumn("_n", F.row_number().over(newest))
         .where(F.col("_n") == 1)
         .select("warehouse_name", "warehouse_size")
     )
 
 
 def dim_warehouse(staged_metering: DataFrame, staged_queries: DataFrame) -> DataFrame:
-    known = last_metered(staged_metering).join(latest_size(staged_queries), "warehouse_name", "left")
+    return _dimension(last_metered(staged_metering), latest_size(staged_queries))
+
+
+def dim_from_state(hours_by_date: DataFrame, uses_by_date: DataFrame) -> DataFrame:
+    """The dimension from stored maxima per date (`meter_hours`, `size_uses`): no log is read.
+
+    Maxima are kept by date, so that a date whose rows were replaced gives its own anew; a maximum over all
+    history could not take back what a merge has removed.
+    """
+    uses = uses_by_date.groupBy("warehouse_name", "warehouse_size").agg(F.max("last_use").alias("last_use"))
+    return _dimension(last_metered(hours_by_date), newest_size(uses))
+
+
+def _dimension(metered: DataFrame, sizes: DataFrame) -> DataFrame:
+    known = metered.join(sizes, "warehouse_name", "left")
     return known.select(
         "warehouse_id",
         "warehouse_name",

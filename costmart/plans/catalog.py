@@ -18,11 +18,13 @@ from pyspark.sql.types import StructType
 from costmart.config import Config
 from costmart.functions import exprs as X
 from costmart.operators import analytics as A
+from costmart.operators import continued as CON
 from costmart.operators import daily as D
 from costmart.operators import departments as DEP
 from costmart.operators import forecast as FC
 from costmart.operators import hourly as H
 from costmart.operators import incremental as I
+from costmart.operators import keyindex as KI
 from costmart.operators import quality as Q
 from costmart.operators import ranking as R
 from costmart.operators import spenders as SP
@@ -885,6 +887,24 @@ def _merged_with(e: Env, column: str) -> DataFrame:
     return merged.select(*staged.columns)
 
 
+MOVED_SQL = "case when cast(query_id as bigint) % 40 = 0 and usage_date <= date '2024-01-10' then {0} + interval 12 day else {0} end"
+
+
+@query("i02_moved_dates", f"""
+    select * replace (cast({MOVED_SQL.format('usage_date')} as date) as usage_date, {MOVED_SQL.format('usage_hour_ntz')} as usage_hour_ntz) from c_sq""")
+def _(e: Env) -> DataFrame:
+    """Statements that come again under another date: their old dates are found by the key index."""
+    staged = e.stored(e.sq(), "staged")
+    path = scratch_path(e.spark, "stg_query_history")
+    writers.write_clustered(staged, path)
+    moved = staged.where((F.col("query_id").cast("bigint") % 40 == 0) & (F.col("usage_date") <= F.lit(date(2024, 1, 10))))
+    later = {c: F.col(c) + F.expr("interval 12 day") for c in ("usage_hour_ntz", "usage_date")}
+    moved = moved.withColumns({**later, "usage_date": F.date_add("usage_date", 12)})
+    order = ["_loaded_at", "end_time"]
+    I.upsert_table(e.spark, path, moved, "query_id", order, sort_by="warehouse_name")
+    return I.upsert_table(e.spark, path, moved, "query_id", order, sort_by="warehouse_name").select(*staged.columns)
+
+
 _HOLE = "case when cast(query_id as bigint) % 50 = 0 then null else {0} end as {0}"
 query("i02_upsert_null_date", f"select * replace ({_HOLE.format('usage_date')}) from c_sq")(
     lambda e: _merged_with(e, "usage_date")
@@ -956,6 +976,89 @@ def _(e: Env) -> DataFrame:
     return I.upsert(target, batch, "cost_hour_key", ["_loaded_at"])
 
 
+# ================================ marts refreshed by what changed ================================
+
+
+def _two_deliveries(e: Env, refresh: Callable[[str, DataFrame, str, list | None], DataFrame], rows: DataFrame, key: str | None = None) -> DataFrame:
+    """A table stored up to the cut and refreshed, then merged with what came later and refreshed again.
+
+    `refresh(root, table, path, changed)` brings the marts under `root` up to date. Later rows are told by hour or,
+    where there is none, by date; some rows of the first delivery come again with them.
+    """
+    root = scratch_path(e.spark, "deliveries")
+    path = f"{root}/upstream"
+    staged = e.stored(rows, "staged")
+    column = "usage_hour_ntz" if "usage_hour_ntz" in staged.columns else "usage_date"
+    refresh(root, writers.write_table(_old(staged, column), path, "usage_date"), path, None)
+    I.take_changes(e.spark, path)
+    late = F.col(column) > F.lit(CUT).cast("timestamp_ntz") - F.expr("interval 30 hour")
+    if key:
+        merged = I.upsert_table(e.spark, path, staged.where(late), key, ["usage_date"])
+    else:  # whole dates
+        dates = [r[0] for r in staged.where(late).select("usage_date").distinct().collect()]
+        I.note_changes(e.spark, path, dates)
+        I.replace_dates(e.spark, path, staged.where(I.on_dates("usage_date", dates)), dates, "usage_date", None)
+        merged = I.stored_table(e.spark, path)
+    return refresh(root, merged, path, I.changed_dates(e.spark, path))
+
+
+def _windowed(e: Env, table: CON.Windowed):
+    return lambda root, upstream, path, changed: CON.refresh_windows(e.spark, f"{root}/mart", table, upstream, path, changed)
+
+
+query("w01_continued_daily", "select * from c_daily")(
+    lambda e: _two_deliveries(e, _windowed(e, marts.daily_table(e.cfg)), e.hourly(), "cost_hour_key").select(*[f.name for f in D.DAILY_CONTRACT.fields])
+)
+query("w05_continued_storage", "select * from c_sd")(
+    lambda e: _two_deliveries(e, _windowed(e, marts.storage_table(e.cfg)), e.ss()).select(*[f.name for f in STO.STORAGE_CONTRACT.fields])
+)
+
+
+def _spenders(e: Env, ranked: bool) -> DataFrame:
+    """Base rows of changed dates, and ranked rows from the first of them on; a third of the estimates come late."""
+    late = e.inputs.attribution().where(F.col("query_id").cast("bigint") % 3 == 0)
+    early = e.inputs.attribution().join(late.select("query_id"), "query_id", "left_anti")
+
+    def refresh(root: str, log: DataFrame, path: str, changed: list | None) -> DataFrame:
+        estimates = early if changed is None else e.inputs.attribution()
+        if changed is not None:
+            KI.ensure_index(e.spark, path, log, "query_id", "usage_date")
+            told = KI.dates_of_keys(e.spark, path, log, late, "query_id", "usage_date").distinct()
+            changed = [*{*changed, *(r[0] for r in told.collect())}]  # one per calendar date
+        base_path = f"{root}/base"
+        base = CON.refresh_dates(e.spark, base_path, lambda rows: SP.top_spenders_base(rows, estimates), log, path, changed)
+        if not ranked:
+            return base
+        told = I.changed_dates(e.spark, base_path) if changed is not None else None
+        return CON.refresh_windows(e.spark, f"{root}/ranked", marts.SPENDERS, base, base_path, told)
+
+    return _two_deliveries(e, refresh, e.sq(), "query_id")
+
+
+query("m06_changed_dates", "select * from c_base")(lambda e: _spenders(e, ranked=False))
+query("m07_changed_dates", "select * from c_ranked")(lambda e: _spenders(e, ranked=True))
+
+
+@query("w12_continued_spenders", "select usage_date, user_name, rolling_7d_cost_usd from c_ranked")
+def _(e: Env) -> DataFrame:
+    """Rolling figures carried over the cut by snapshots of each user's last rows."""
+    rows = SP.spenders_daily(e.base())
+    table = CON.Windowed("user_name", "estimated_cost_usd", 6, lambda r: r, SP.ranked_spenders)
+    return _two_deliveries(e, _windowed(e, table), rows).select("usage_date", "user_name", "rolling_7d_cost_usd")
+
+
+@query("m10_from_state", "select * from c_dimw")
+def _(e: Env) -> DataFrame:
+    """The warehouse dimension from maxima kept by date; the log is read for changed dates only."""
+    hours = writers.write_table(WH.meter_hours(e.sm()), scratch_path(e.spark, "warehouse-hours"), "usage_date")
+
+    def refresh(root: str, log: DataFrame, path: str, changed: list | None) -> DataFrame:
+        sizes = CON.refresh_dates(e.spark, f"{root}/sizes", lambda rows: WH.size_uses(rows, "usage_date"), log, path, changed)
+        return WH.dim_from_state(hours, sizes)
+
+    return _two_deliveries(e, refresh, e.sq(), "query_id")
+
+
 # ================================ marts ==========================================================
 
 query("m01_int_hourly_compute_costs", "select * from c_hourly")(lambda e: e.hourly())
@@ -981,7 +1084,6 @@ query("m07_top_spenders_undated", """
     .groupBy("usage_date")
     .agg(F.count("*").alias("users"), F.max("rank_by_query_count").alias("last_rank"), F.sum("query_count").alias("query_count"))
 )
-query("m07_top_spenders_large_days", "select * from c_ranked")(lambda e: SP.top_spenders(e.base()))
 query("m08_fct_cost_by_department", "select * from c_dept")(lambda e: e.dept())
 query("m09_fct_budget_vs_actual", "select * from c_bva")(lambda e: e.bva())
 query("m10_dim_warehouse", "select * from c_dimw")(lambda e: e.sizes())

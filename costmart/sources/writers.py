@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costmart.sources.files import save_schema
+
 INSIGHT_COLUMNS = (
     "scope",
     "name",
@@ -30,6 +32,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, sort_
     """Full refresh of a mart; returns the stored table."""
     writer = laid_out(df, partition_by, sort_by).write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    save_schema(df.sparkSession, path, df.schema)
     return read_table(df.sparkSession, path, df.schema)
 
 
