@@ -4,7 +4,7 @@ import corpus_pipeline
 from conftest import DATA
 from llm.test_packing import check
 from llm.test_quality import slow
-from llm.test_simhash import brute, slow_fingerprint
+from llm.test_similar import slow_roots
 
 from costmart.session import stage_table
 
@@ -18,12 +18,8 @@ def test_stages_equal_brute_force(spark):
         words, _, _, _, repeated = slow(text)
         if words >= 50 and 100 * repeated <= 50 * words:
             kept.append((doc_id, text))
-    code = {i: slow_fingerprint(t) for i, t in kept}
-    root = brute(sorted(set(code.values())))
-    first: dict = {}
-    for i in sorted(code):
-        first.setdefault(root[code[i]], i)
-    stay = [(i, t) for i, t in kept if first[root[code[i]]] == i]
+    root = slow_roots(dict(kept))
+    stay = [(i, t) for i, t in kept if root[i] == i]
     assert 0 < len(stay) < len(docs)
     check(corpus_pipeline.run(spark, DATA).collect(), stay)
 
