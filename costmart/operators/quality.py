@@ -251,28 +251,72 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def check_table(name: str, df: DataFrame, suite: Suite, tables: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, table_name, violations). All row-level checks of a table share one scan."""
-    parts = []
-    conditions = _row_conditions(suite)
-    if conditions:
-        counted = df.agg(
-            *[F.count(F.when(bad, 1)).alias(f"c{i}") for i, bad in enumerate(conditions.values())]
-        )
-        pairs = [F.struct(F.lit(check).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, check in enumerate(conditions)]
-        parts.append(counted.select(F.explode(F.array(*pairs)).alias("c")).select("c.check_name", "c.violations"))
-    for column in suite.unique:
-        parts.append(_count(unique(df, column), f"unique({column})"))
-    for columns in suite.unique_combos:
-        parts.append(_count(unique_combo(df, list(columns)), f"unique({', '.join(columns)})"))
-    for column, parent in suite.relationships:
-        parts.append(_count(relationship(df, tables[parent], column), f"relationship({column})"))
-    return _union(parts).select("check_name", F.lit(name).alias("table_name"), "violations")
+RESULT = "check_name string, table_name string, value string, known boolean, violations long"
+
 
+def _parents(suites: dict[str, Suite], tables: Iterable[str]) -> list[tuple[str, str, str]]:
+    """(child table, column, parent table) of all declared references between the given tables."""
+    return [(n, c, p) for n in tables if n in suites for c, p in suites[n].relationships]
 
-def _count(violations: DataFrame, check: str) -> DataFrame:
-    return violations.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(check).alias("check_name"), "violations")
+
+def _findings(name: str, df: DataFrame, suite: Suite, parents: list[tuple[str, str, str]]) -> DataFrame:
+    """All that one scan of a table tells: violations of its own checks, and the values on either side of references.
+
+    Every key is a grouping set of one aggregation, whose groups also count the row-level violations; a group
+    of the first set stands for its rows once.
+    """
+    conditions = _row_conditions(suite)
+    keys: list[tuple[tuple[str, ...], str, bool]] = [((c,), f"unique({c})", True) for c in suite.unique]
+    keys += [(tuple(cs), f"unique({', '.join(cs)})", False) for cs in suite.unique_combos]
+    children = [((c,), f"relationship({c})", name, False) for child, c, _ in parents if child == name]
+    values = children + [((c,), f"relationship({c})", child, True) for child, c, parent in parents if parent == name]
+    sets = list(dict.fromkeys([k for k, *_ in keys] + [v for v, *_ in values]))
+    counted = [F.count(F.when(bad, 1)).alias(f"_c{i}") for i, bad in enumerate(conditions.values())]
+    if sets:
+        columns = list(dict.fromkeys(c for s in sets for c in s))
+        groups = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+            F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"), *counted
+        )
+    else:
+        columns, groups = [], df.agg(F.lit(0).alias("_set"), F.count(F.lit(1)).alias("_n"), *counted)
+
+    def of(columns_of_set: tuple[str, ...]) -> Column:
+        bits = [0 if c in columns_of_set else 1 for c in columns]
+        return F.col("_set") == F.lit(int("".join(map(str, bits)) or "0", 2))
+
+    def found(condition: Column, check: str, table: str, value: Column, known: bool, n: Column) -> Column:
+        row = F.struct(
+            F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), value.cast("string").alias("value"),
+            F.lit(known).alias("known"), n.cast("long").alias("violations"),
+        )
+        return F.when(condition, row)
+
+    none, one = F.lit(None), F.lit(1)
+    rows = [found(of(sets[0]) & (F.col(f"_c{i}") > 0) if sets else F.lit(True), c, name, none, False, F.col(f"_c{i}")) for i, c in enumerate(conditions)]
+    for key, check, skip_null in keys:
+        repeated = of(key) & (F.col("_n") > 1)
+        rows.append(found(repeated & F.col(key[0]).isNotNull() if skip_null else repeated, check, name, none, False, one))
+    for key, check, table, known in values:
+        rows.append(found(of(key) & F.col(key[0]).isNotNull(), check, table, F.col(key[0]), known, F.col("_n")))
+    return groups.select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
 
 
 def run_checks(tables: dict[str, DataFrame], suites: dict[str, Suite] = SUITES) -> DataFrame:
-    return _union([check_table(name, df, suites[name], tables) for name, df in tables.items() if name in suites])
+    """(check_name, table_name, violations) of every declared check; each table is scanned once.
+
+    References are settled by one aggregation over (check, value) pairs of children and parents, in the place
+    of an anti join each. A check without findings has zero violations.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    parents = _parents(suites, tables)
+    checks, parts = [], []
+    for name, df in tables.items():
+        suite = suites.get(name, Suite())
+        names = [*_row_conditions(suite), *(f"unique({c})" for c in suite.unique)]
+        names += [f"unique({', '.join(c)})" for c in suite.unique_combos] + [f"relationship({c})" for c, _ in suite.relationships]
+        checks += [(n, name, None, False, 0) for n in names]
+        if names or any(parent == name for *_, parent in parents):
+            parts.append(_findings(name, df, suite, parents))
+    every = _union([spark.createDataFrame(checks, RESULT), *parts])
+    of_value = every.groupBy("check_name", "table_name", "value").agg(F.bool_or("known").alias("known"), F.sum("violations").alias("violations"))
+    return of_value.groupBy("check_name", "table_name").agg(F.sum(F.when(F.col("known"), 0).otherwise(F.col("violations"))).alias("violations"))

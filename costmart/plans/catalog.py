@@ -473,7 +473,41 @@ def _amounts(e: Env) -> DataFrame:
     return e.inputs.table("events").withColumn("amount", F.col("value").cast("decimal(18,2)"))
 
 
-query("a15_profile_by_key", None)(lambda e: A.profile_by_key(_amounts(e), "event_type", "amount", "props"))
+@query(
+    "a15_profile_by_key",
+    f"""select event_type, count(*) as row_count, {usd('sum(cast(value as decimal(18,2)))')} as total_amount,
+               {half_up('sum(cast(value as decimal(18,2))) * 100', 'count(*) * 100', 6)} as avg_amount,
+               {nudge('stddev_samp(value)', 6)} as stddev_amount, count(distinct props) as items, true as within_error from events group by 1""",
+)
+def _(e: Env) -> DataFrame:
+    """The profile with the exact count of items beside the estimate, which must lie within its error of it."""
+    rows = _amounts(e)
+    exact = rows.groupBy("event_type").agg(F.countDistinct("props").alias("items"))
+    profile = A.profile_by_key(rows, "event_type", "amount", "props").withColumn("stddev_amount", X.nudge_round(F.col("stddev_amount"), 6))
+    found = profile.join(exact, "event_type")
+    # approx_count_distinct is asked for its default relative deviation, 5 %.
+    return found.withColumn("within_error", H.within_error(F.col("approx_items"), F.col("items"), 0.05)).drop("approx_items")
+
+
+@query(
+    "a15_users_from_sketches",
+    """select warehouse_name, cast(date_trunc('month', usage_date) as date) as month, count(*) as query_count,
+              count(distinct user_name) as users, true as within_error from c_sq group by 1, 2""",
+)
+def _(e: Env) -> DataFrame:
+    """Users per warehouse and month from hourly sketches of two deliveries; the log is read for changed dates only."""
+    staged = e.stored(e.sq(), "staged")
+
+    def refresh(root: str, log: DataFrame, path: str, changed: list | None) -> DataFrame:
+        return CON.refresh_dates(e.spark, f"{root}/sketches", H.activity_sketches, log, path, changed)
+
+    month = F.trunc("usage_date", "month").alias("month")
+    merged = H.activity_from_sketches(_two_deliveries(e, refresh, staged, "query_id"), "warehouse_name", month)
+    exact = staged.groupBy("warehouse_name", month).agg(F.countDistinct("user_name").alias("users"))
+    found = merged.join(exact, ["warehouse_name", "month"])
+    return found.withColumn("within_error", H.within_error(F.col("approx_users"), F.col("users"))).drop("approx_users")
+
+
 query(
     "a15_profile_exact",
     f"""select event_type, count(*) as row_count, {usd('sum(cast(value as decimal(18,2)))')} as total_amount,
@@ -1035,6 +1069,16 @@ def _spenders(e: Env, ranked: bool) -> DataFrame:
     return _two_deliveries(e, refresh, e.sq(), "query_id")
 
 
+@query("m05_forecast_from_moments", "select * from c_fc")
+def _(e: Env) -> DataFrame:
+    """The forecast from moments per date, brought up to date by a second delivery."""
+
+    def refresh(root: str, daily: DataFrame, path: str, changed: list | None) -> DataFrame:
+        return CON.refresh_dates(e.spark, f"{root}/moments", FC.cost_moments, daily, path, changed)
+
+    return FC.forecast_from_moments(_two_deliveries(e, refresh, e.daily()), e.cfg)
+
+
 query("m06_changed_dates", "select * from c_base")(lambda e: _spenders(e, ranked=False))
 query("m07_changed_dates", "select * from c_ranked")(lambda e: _spenders(e, ranked=True))
 
@@ -1196,8 +1240,7 @@ def _(e: Env) -> DataFrame:
     metering = e.stored(e.sm(), "metering")
     daily = e.stored(D.daily_costs(H.hourly_costs(metering, e.sq(), e.cfg), e.cfg), "daily")
     tables = {"fct_daily_costs": daily, "dim_department": DEP.dim_department(e.inputs.department_map())}
-    parts = [Q.check_table(n, df, Q.SUITES[n], {**tables, "stg_warehouse_metering": metering}) for n, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return Q.run_checks({**tables, "stg_warehouse_metering": metering}, {n: Q.SUITES[n] for n in tables})
 
 
 _SUITE_TABLES = {

@@ -83,3 +83,33 @@ def test_ranks_start_at_one_and_grow_with_smaller_values(spark, tables):
         own = [r for r in rows if r.usage_date == day]
         for r in own:
             assert r.rank_by_query_count == 1 + sum(o.query_count > r.query_count for o in own)
+
+
+def test_all_checks_of_a_table_share_one_scan(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from costmart.operators.quality import Suite, run_checks
+    from costmart.sources.writers import write_table
+
+    rows = [("a", 1, "x", 5), ("a", 1, "x", -1), (None, 2, "y", None), (None, 2, "z", 3), ("b", None, "gone", -7), ("c", None, None, 1)]
+    child = write_table(spark.createDataFrame(rows, "k string, n int, ref string, v int"), f"{tmp_path}/child")
+    parent = write_table(spark.createDataFrame([("x",), ("y",), (None,)], "ref string"), f"{tmp_path}/parent")
+    suites = {
+        "child": Suite(
+            not_null=("k", "ref"), unique=("k", "n"), unique_combos=(("k", "n"),), between=(("v", 0, None),),
+            accepted=(("ref", ("x", "y", "z")),), relationships=(("ref", "parent"), ("k", "parent2")), rules={"odd": "v % 2 <> 0"},
+        ),
+        "parent": Suite(unique=("ref",)),
+    }
+    parent2 = write_table(spark.createDataFrame([("a",), ("b",), ("c",)], "k string"), f"{tmp_path}/parent2")
+    checked = run_checks({"child": child, "parent": parent, "parent2": parent2}, suites)
+    got = {(r.table_name, r.check_name): r.violations for r in checked.collect()}
+    assert got == {
+        ("child", "not_null(k)"): 2, ("child", "not_null(ref)"): 1, ("child", "unique(k)"): 1, ("child", "unique(n)"): 2,
+        ("child", "unique(k, n)"): 2, ("child", "between(v)"): 2, ("child", "accepted(ref)"): 1, ("child", "relationship(ref)"): 2,
+        ("child", "relationship(k)"): 0, ("child", "odd"): 5, ("parent", "unique(ref)"): 0,
+    }
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3
+    empty = run_checks({"child": child.where(F.lit(False)), "parent": parent, "parent2": parent2}, suites)
+    assert {r.violations for r in empty.collect()} == {0}
