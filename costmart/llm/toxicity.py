@@ -6,10 +6,13 @@ documents; seeds are chosen by greedy cover, each explaining toxic documents tha
 In toxic documents, words with a seed feature are toxic tokens; every other token is not. On half of
 the sample a CRF with two states is fitted to these token labels by gradient ascent on the conditional
 likelihood. On the other half the marginals are turned into a document score by a small logistic model.
+Features, seeds and evidence come from whole texts, on the executors; the chain is fitted to stretches of
+words from all over the texts, chosen by hash, as many as SAMPLE_SEGMENTS.
 
 A text is scored as one chain over all its words. Words without a known feature have constant potentials,
 so a run of k of them is the k-th power of one matrix, and forward-backward only stops at words with
-features: exact marginals, in time and memory proportional to the words.
+features: exact marginals, in time and memory proportional to the words. A text with a word that is rather toxic
+than not is walked once more, word by word; a span is a run of such words, those without features included.
 
 Defined results: NULL and empty texts have no tokens and get the score of a text without evidence. Without
 toxic labels the score is 0 everywhere. Several labels of one document count as toxic if one is. A NULL id
@@ -32,11 +35,11 @@ from pyspark.sql import functions as F
 from costmart.llm.frames import spare, table
 from costmart.session import stage_table
 
-# Bounds of the fit: labelled documents per class, features of the model, tokens with features that one
-# document contributes. They hold for the fit alone; every text is scored whole.
+# Bounds of the fit: labelled documents per class, features of the model, stretches that the chain is fitted
+# to. They hold for the fit alone; every text is scored whole.
 SAMPLE_PER_CLASS = 3000
 MAX_FEATURES = 20_000
-SAMPLE_TOKENS = 400
+SAMPLE_SEGMENTS = 20_000
 MIN_DOCS = 5
 MIN_LIFT = 4.0
 SEED_LIFT = 6.0
@@ -139,6 +142,40 @@ class Model:
             b0, b1, following = b0 / total, b1 / total, at[j]
         return at, out
 
+    def chain(self, words: list[str]) -> list[float]:
+        """The probability of every word that it is toxic."""
+        known = self._known
+        steps = [self._matrix((known[w] if w in known else self.weight(w)) or 0.0) for w in words]
+        forward, a0, a1 = [], 1.0, 0.0
+        for m in steps:
+            a0, a1 = a0 * m[0] + a1 * m[2], a0 * m[1] + a1 * m[3]
+            total = a0 + a1
+            a0, a1 = a0 / total, a1 / total
+            forward.append((a0, a1))
+        out, b0, b1 = [0.0] * len(words), 1.0, 1.0
+        for i in range(len(words) - 1, -1, -1):
+            f0, f1 = forward[i]
+            out[i] = f1 * b1 / (f0 * b0 + f1 * b1)
+            m = steps[i]
+            b0, b1 = m[0] * b0 + m[1] * b1, m[2] * b0 + m[3] * b1
+            total = b0 + b1
+            b0, b1 = b0 / total, b1 / total
+        return out
+
+    def spans(self, text: str) -> list[tuple[int, int, float]]:
+        """Runs of words that are rather toxic than not: offsets, and the surest word's probability."""
+        found = list(_WORD.finditer(text))
+        out: list[tuple[int, int, float]] = []
+        last = None
+        for i, (m, p) in enumerate(zip(found, self.chain([m.group() for m in found]))):
+            if p >= 0.5:
+                if last == i - 1 and out:
+                    out[-1] = (out[-1][0], m.end(), max(out[-1][2], p))
+                else:
+                    out.append((m.start(), m.end(), p))
+                last = i
+        return out
+
     def evidence(self, probabilities: list[float], words: int) -> tuple[float, ...]:
         """What the document score sees: expected toxic tokens, the surest one, their density."""
         total = sum(probabilities)
@@ -151,9 +188,7 @@ class Model:
             return 0.0, []
         z = sum(w * x for w, x in zip(self.document, self.evidence(probabilities, len(words))))
         score = 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, z))))
-        hits = {i: p for i, p in zip(at, probabilities) if p >= 0.5}
-        spans = [(m.start(), m.end(), hits[i]) for i, m in enumerate(_WORD.finditer(text)) if i in hits] if hits else []
-        return score, spans
+        return score, self.spans(text) if max(probabilities, default=0.0) >= 0.5 else []
 
 
 def fit_chain(segments: list[list[tuple[np.ndarray, int]]], size: int, rounds: int = 120) -> tuple[np.ndarray, tuple[float, ...]]:
@@ -271,40 +306,43 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     place = {f: i for i, f in enumerate(names)}
     lifts = np.array([r["lift"] for r in known])
 
-    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = [sorted({place[f] for w in set(_WORD.findall(t or "")) for f in features(w) if f in place}) for t in batch["text"]]
+            yield pd.DataFrame({"ids": ids})
+
+    # The model's features that each toxic text of the sample holds: MAX_FEATURES numbers at most.
+    explained = chosen.filter("toxic = 1").select("text").mapInPandas(held, "ids array<int>").collect()
+    seeds = cover([set(r["ids"]) for r in explained], lifts)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for toxic, half, text in zip(batch["toxic"], batch["half"], batch["text"]):
-                words = _WORD.findall(text or "")
-                at, ids, sizes = [], [], []
-                for i, w in enumerate(words):
-                    if have := [place[f] for f in features(w) if f in place]:
-                        at.append(i)
-                        ids += have
-                        sizes.append(len(have))
-                        if len(at) == SAMPLE_TOKENS:
-                            break
-                rows.append((toxic, half, len(words), at, ids, sizes))
-            yield pd.DataFrame(rows, columns=["toxic", "half", "words", "at", "ids", "sizes"])
-
-    rows = chosen.mapInPandas(look_up, "toxic int, half int, words long, at array<int>, ids array<int>, sizes array<int>").collect()
-    seeds = cover([set(r["ids"]) for r in rows if r["toxic"]], lifts)
-    segments: list = []
-    for r in rows:
-        if r["half"] == 0:
-            segments += _segments(r, seeds)
+            for doc_id, toxic, text in zip(batch["doc_id"], batch["toxic"], batch["text"]):
+                for n, segment in enumerate(segments_of(_WORD.findall(text or ""), place, seeds if toxic else set())):
+                    flat = [i for ids, _ in segment for i in ids]
+                    rows.append((doc_id, n, flat, [len(ids) for ids, _ in segment], [label for _, label in segment]))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "ids", "sizes", "labels"])
+
+    stretches = chosen.filter("half = 0").select("doc_id", "toxic", "text")
+    stretches = stretches.mapInPandas(cut, "doc_id long, n int, ids array<int>, sizes array<int>, labels array<int>")
+    rows = stretches.orderBy(F.xxhash64("doc_id", "n"), "doc_id", "n").limit(SAMPLE_SEGMENTS).collect()
+    segments = [_unpacked(r) for r in rows]
     if not any(label for s in segments for _, label in s):
         return Model()
     weights, (bias, enter, leave, stay) = fit_chain(segments, len(names))
     model = Model({f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-3}, bias, enter, leave, stay)
-    x, y = [], []
-    for r in rows:
-        if r["half"] == 1:
-            x.append(model.evidence(_known_marginals(model, r, weights), r["words"]))
-            y.append(r["toxic"])
-    if len(set(y)) < 2:
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = [_WORD.findall(t or "") for t in batch["text"]]
+            yield pd.DataFrame({"toxic": batch["toxic"], "x": [list(model.evidence(model.marginals(w)[1], len(w))) for w in words]})
+
+    judged = chosen.filter("half = 1").select("doc_id", "toxic", "text").mapInPandas(judge, "toxic int, x array<double>").collect()
+    judged.sort(key=lambda r: (r["x"], r["toxic"]))  # sums of the fit don't depend on the order of rows
+    if len({r["toxic"] for r in judged}) < 2:
         return Model()
-    model.document = fit_logistic(np.array(x), np.array(y, float))
+    model.document = fit_logistic(np.array([r["x"] for r in judged]), np.array([r["toxic"] for r in judged], float))
     model.fitted = True
     return model
 
@@ -331,46 +369,32 @@ def cover(documents: list[set[int]], lifts: np.ndarray) -> set[int]:
     return chosen | {f for f in support if lifts[f] >= max(sure, SEED_LIFT) and support[f] >= 4 * least}
 
 
-def _tokens(row) -> Iterator[tuple[int, np.ndarray]]:
-    ids, end = np.array(row["ids"], np.int64), np.cumsum(row["sizes"])
-    for i, at in enumerate(row["at"]):
-        yield at, ids[end[i] - row["sizes"][i] : end[i]]
-
-
-def _segments(row, seeds: set[int]) -> list[list[tuple[np.ndarray, int]]]:
-    """Stretches of tokens around those with features; one plain stretch where there are none."""
-    empty = np.empty(0, np.int64)
-    if not row["at"]:
-        return [[(empty, 0)] * min(SEGMENT, row["words"])] if row["words"] else []
+def segments_of(words: list[str], place: dict[str, int], seeds: set[int]) -> list[list[tuple[list[int], int]]]:
+    """Stretches of a whole text around words with features, as (feature ids, label); one plain stretch without."""
     out: list = []
     last = None
-    for at, ids in _tokens(row):
-        label = int(bool(row["toxic"]) and bool(seeds.intersection(ids.tolist())))
+    for at, word in enumerate(words):
+        ids = [place[f] for f in features(word) if f in place]
+        if not ids:
+            continue
         gap = min(CONTEXT, at) if last is None else at - last - 1
         if last is None or gap > 2 * CONTEXT or len(out[-1]) + gap + 1 > SEGMENT:
-            if out and last is not None:
-                out[-1] += [(empty, 0)] * min(CONTEXT, gap)
-            out.append([(empty, 0)] * min(CONTEXT, gap))
+            if last is not None:
+                out[-1] += [([], 0)] * min(CONTEXT, gap)
+            out.append([([], 0)] * min(CONTEXT, gap))
         else:
-            out[-1] += [(empty, 0)] * gap
-        out[-1].append((ids, label))
+            out[-1] += [([], 0)] * gap
+        out[-1].append((ids, int(not seeds.isdisjoint(ids))))
         last = at
-    out[-1] += [(empty, 0)] * min(CONTEXT, row["words"] - last - 1)
+    if last is None:
+        return [[([], 0)] * min(SEGMENT, len(words))] if words else []
+    out[-1] += [([], 0)] * min(CONTEXT, len(words) - last - 1)
     return out
 
 
-def _known_marginals(model: Model, row, weights: np.ndarray) -> list[float]:
-    """Marginals of a looked-up document, through the scorer itself with one made-up word per token."""
-    words: list[str] = [""] * row["words"]
-    known = {"": None}
-    for at, ids in _tokens(row):
-        words[at] = f"#{at}"
-        known[f"#{at}"] = float(weights[ids].sum())
-    kept, model._known = model._known, known
-    try:
-        return model.marginals(words)[1]
-    finally:
-        model._known = kept
+def _unpacked(row) -> list[tuple[np.ndarray, int]]:
+    ids, end = np.array(row["ids"], np.int64), np.cumsum(row["sizes"])
+    return [(ids[e - n : e], label) for e, n, label in zip(end, row["sizes"], row["labels"])]
 
 
 def scored(text: Column, model: Model) -> Column:
