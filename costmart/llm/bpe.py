@@ -160,6 +160,13 @@ class Transducer:
                 self.hold *= 2
         buffer += symbols[at:]
 
+    def run(self, symbols: list[str]) -> list[str]:
+        """Tokens of a whole word, the last symbol marked: where it fits the buffer, all come at its end."""
+        if len(symbols) < self.hold:
+            Transducer.steps += len(symbols)
+            return self.merges.merge(symbols)
+        return [*self.feed(symbols), *self.close(mark=False)]
+
     def close(self, mark: bool = True) -> list[str]:
         """The word's last tokens, once its last symbol is marked as its end."""
         if mark and self.buffer:
@@ -250,7 +257,7 @@ class Tokenizer:
     def _word(self, word: str) -> list[int]:
         """Ids of a whole word: the transducer run from its first state to the word's end, kept for the next time."""
         if (found := self._words.get(word)) is None:
-            found = [self.vocabulary[t] for t in self.merges.stream(self._symbols(word))]
+            found = [self.vocabulary[t] for t in Transducer(self.merges).run(self._symbols(word))]
             if len(word) <= _LONGEST:
                 if len(self._words) > CACHE_WORDS:
                     self._words.clear()
@@ -306,7 +313,10 @@ class Tokenizer:
     def _seen(self, word: str) -> tuple[int, str, str]:
         """Number of ids, ids and decoded text of what lies between two blanks, kept for the next time."""
         if (found := self._older.get(word)) is None:
-            ids = list(self.encode(word) if self._special and self._special.search(word) else self._ids(word, 0, len(word)))
+            if len(word) > READ or self._special and self._special.search(word):
+                ids = list(self.encode(word))
+            else:
+                ids = [i for w in self.pattern.findall(self.normalize(word)) for i in self._word(w)]
             found = len(ids), " ".join(map(str, ids)), "".join(self.decode(ids))
         if len(word) <= _LONGEST:
             if len(self._known) > CACHE_WORDS:
