@@ -37,6 +37,7 @@ from costmart.plans.oracle import ASOF, LABEL_CREDITS, UNASSIGNED, half_up, key,
 from costmart.session import scratch_path, stage_table
 from costmart.sources import readers, writers
 from costmart.sources.adapter import Inputs
+from costmart.streaming import ingest as ING
 
 AS_OF = date(2024, 1, 31)
 MID_MONTH = date(2024, 1, 20)
@@ -247,6 +248,13 @@ def _(e: Env) -> DataFrame:
 query("s13_write_clustered", "select * from c_sq")(
     lambda e: writers.write_clustered(e.sq(), scratch_path(e.spark, "stg_query_history"))
 )
+@query("s13_write_interleaved", "select * from c_sq")
+def _(e: Env) -> DataFrame:
+    """Clustered by warehouse and user at once, and merged into under the same layout's dates."""
+    staged = e.stored(e.sq(), "staged")
+    return writers.write_interleaved(staged, scratch_path(e.spark, "stg_query_history"))
+
+
 query("s14_recent", f"select * from c_daily where usage_date >= {ASOF} - 21")(lambda e: readers.recent(e.daily(), e.cfg, 7))
 query("s14_recent_departments", f"select * from c_dept where usage_date >= {ASOF} - 21")(
     lambda e: readers.recent(e.dept(), e.cfg, 7)
@@ -887,6 +895,23 @@ query(
 )(lambda e: I.since_watermark(e.queries(), _old(e.sq())))
 
 
+@query("i01_streamed_activity", "select * from c_act")
+def _(e: Env) -> DataFrame:
+    """The log as files that land out of order, through the stream: exact users, late rows counted in after all.
+
+    A last file with one row of far later time closes the newest hours.
+    """
+    staged = e.stored(e.sq(), "staged")
+    root = scratch_path(e.spark, "stream")
+    day = F.dayofmonth("usage_hour_ntz")
+    late = (F.col("query_id").cast("bigint") % 50 == 0) & day.between(3, 9)
+    closing = staged.limit(1).withColumns({"end_time": F.lit(datetime(2030, 1, 1)).cast("timestamp_ntz"), "warehouse_name": F.lit("-")})
+    for rows in (staged.where((day <= 10) & ~late), staged.where((day > 10) & ~late), staged.where(late), closing):
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    hours, kept = ING.streamed_activity(e.spark, f"{root}/landing", root, staged.schema)
+    return ING.corrected_activity(hours, kept, staged)
+
+
 @query("i02_upsert", f"""
     select * replace (case when usage_hour_ntz >= {CUT_SQL} - interval 1 hour then 'MERGED' else role_name end as role_name) from c_sq""")
 def _(e: Env) -> DataFrame:
