@@ -8,11 +8,12 @@ archives by Content-Length, takes length and digest of responses from the payloa
 revisits to the responses that they name.
 
 Archives go through Spark's text writer, with the record separator as line separator: the commit
-protocol gives recovery, and any file system Spark knows will do. Each file is one gzip member.
+protocol gives recovery, and any file system Spark knows will do. Each file is one gzip member, and holds as
+many records as the largest of them allows within FILE_BYTES, as a reader takes a file as one cell.
 
 Defined results: NULL payloads are empty. Payloads under the limit are always responses. A NULL id counts
 as the largest and has no page-id header. Rows that repeat id, address and payload are one response and
-revisits of it. Control characters in an address are percent-encoded; a NULL address has no header. An
+revisits of it. Control characters in an address are written as %20; a NULL address has no header. An
 empty table gives no record. Extra columns are ignored.
 """
 
@@ -23,15 +24,18 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costmart.llm.frames import table
+from costmart.llm.frames import numbered, table
 from costmart.session import scratch_path, stage_table
 
 SEPARATOR = "\r\n\r\n"
 MIN_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 20_000
+FILE_BYTES = 1 << 30
+# Header bytes of a record that are allowed for; addresses come on top.
+_HEADER = 1 << 10
 _READ = 1 << 20
 
 RECORD_SCHEMA = (
@@ -87,16 +91,19 @@ def resolve(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame
     """Add record_type, record_id, refers_to_record and refers_to_url; drop the payload of revisits."""
     found = stage_table(originals(records, min_bytes), "warc-originals")
     joined = records.join(found.withColumnRenamed("payload_digest", "_digest"), F.col("payload_digest") == F.col("_digest"), "left")
+    joined = joined.withColumn("_nth", F.lit(0).cast("long"))
     is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
     repeats = F.col("_digest").isNotNull() & (F.col("payload_bytes") >= min_bytes)
     later = F.lit(False)
     if found.filter("ties > 1").head(1):
-        # Rows that equal the response in all columns: number these few, so that one stays the response.
-        tied = joined.filter(repeats & is_first & (F.col("ties") > 1))
-        tied = tied.withColumn("_nth", F.row_number().over(Window.partitionBy("payload_digest").orderBy("payload_bytes")))
-        rest = joined.filter(~F.coalesce(repeats & is_first & (F.col("ties") > 1), F.lit(False)))
-        joined = rest.withColumn("_nth", F.lit(1)).unionByName(tied)
-        later = F.col("_nth") > 1
+        # Rows that equal the response in all columns, any number of them: one stays the response. They are
+        # numbered without their payload, which one row per digest brings back.
+        same = F.coalesce(repeats & is_first & (F.col("ties") > 1), F.lit(False))
+        tied = joined.filter(same)
+        others = numbered(stage_table(tied.drop("payload", "_nth"), "warc-ties"), "payload_digest", ["payload_bytes"], "_nth")
+        others = others.filter("_nth > 0").withColumn("payload", F.lit(""))
+        joined = joined.filter(~same).unionByName(tied.dropDuplicates(["payload_digest"])).unionByName(others)
+        later = F.col("_nth") > 0
     kind = F.when(repeats & (~is_first | later), F.lit("revisit")).otherwise(F.lit("response"))
     revisit = F.col("record_type") == "revisit"
     first_id = _record_id(F.lit("response"), F.col("first.page_id"), F.col("first.url"), F.col("payload_digest"))
@@ -142,11 +149,14 @@ def write_archives(resolved: DataFrame, path: str, date: str = "2024-01-01T00:00
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
+    # By the noted length, so that payloads are not moved for it; a revisit counts like its response.
+    size = F.col("payload_bytes") + F.coalesce(F.octet_length("url"), F.lit(0)) * 2
+    largest = _HEADER + (resolved.agg(F.max(size)).first()[0] or 0)
     (
         resolved.select(F.concat(header, block).alias("value"))
         .write.option("lineSep", SEPARATOR)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", max(1, min(RECORDS_PER_FILE, FILE_BYTES // largest)))
         .text(path)
     )
 

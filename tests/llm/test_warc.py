@@ -48,3 +48,28 @@ def test_archives_are_parsed_by_length_and_checked():
 
 def test_matches_sql(spark):
     assert compare(W.query(spark, DATA), duck(DATA), W.ORACLE) == []
+
+
+def test_equal_rows_of_a_hot_payload_are_one_response(spark):
+    """A third of the rows repeat one record in all columns; their payload is not moved to number them."""
+    rows = [(7, "http://hot", BIG)] * 400 + [(n, f"http://p/{n}", BIG if n % 10 == 0 else f"{n} " * 60) for n in range(8, 800)]
+    rows += [(5, None, "tie " * 50)] * 3 + [(None, None, "none " * 50)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    resolved = W.resolve(W.records_of(pages))
+    found = W.with_originals(archived(spark, pages)).collect()
+    assert len(found) == len(rows) and resolved.count() == len(rows)
+    hot = [r for r in found if r.page_id == 7]
+    assert sorted(r.record_type for r in hot).count("response") == 1 and len(hot) == 400
+    assert {r.refers_to for r in found if r.record_type == "revisit" and r.page_id not in (5, None)} == {7}
+    assert [r.record_type for r in found if r.page_id == 5].count("response") == 1
+    assert [r.record_type for r in found if r.page_id is None].count("response") == 1
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(W, "FILE_BYTES", 100_000)
+    monkeypatch.setattr(W, "_READ", 1 << 10)
+    pages = spark.createDataFrame([(n, "u", str(n) * 5_000) for n in range(1, 40)], "page_id long, url string, html string").coalesce(1)
+    W.write_archives(W.resolve(W.records_of(pages)), f"{tmp_path}/warc")
+    sizes = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "warc").glob("*.gz")]
+    assert len(sizes) > 3 and max(sizes) <= 100_000
+    assert W.read_archives(spark, f"{tmp_path}/warc").count() == 39
