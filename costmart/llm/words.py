@@ -28,6 +28,23 @@ _SPECIAL = re.compile(r"<\|(?:start|end)oftext\|>")
 _PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:|#*$%&]*)")
 
 
+_ASCII_BLANK = "\t\n\x0b\x0c\r "
+_LONG = 1000  # longer pieces go alone
+
+
+def ranked_encoding(model: dict):
+    """A byte-level BPE model as ranks for tiktoken, several times as fast, where ids are in the order of merges."""
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    if any(model["vocab"].get(a + b) != 256 + n for n, (a, b) in enumerate(merges)):
+        return None
+    import public_tokenizers
+    import tiktoken
+
+    byte = {c: b for b, c in enumerate(byte_letters())}
+    ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()}
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
     """A tokenizers file as a function from text to ids, as little-endian unsigned 32-bit integers."""
 
@@ -48,6 +65,10 @@ class Encoder:
         self.plain = _PLAIN if self.folds or spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" else None
         self.letters = dict(enumerate(byte_letters()))
         self.model = self.tokenizer.model
+        self.ranked = None if self.folds or not self.plain else ranked_encoding(spec["model"])
+        if self.ranked:
+            token_of = sorted(spec["model"]["vocab"].items(), key=lambda t: t[1])
+            self.size = np.array([len(token) for token, _ in token_of])  # one letter per byte
 
     def _merge(self, piece: str) -> bytes:
         """Ids of one word or one run of marks, by the library's model alone."""
@@ -70,7 +91,7 @@ class Encoder:
             if found is None:
                 piece = pieces[i]
                 found = self.known.get(piece) or self.older.get(piece)
-                if found is None and self.plain and (parts := self.plain.fullmatch(piece)):
+                if found is None and self.plain and not self.ranked and (parts := self.plain.fullmatch(piece)):
                     word, marks = parts.groups()
                     found = self.known.get(word) or self.older.get(word) or self._merge(word)
                     if marks:
@@ -82,12 +103,30 @@ class Encoder:
                     self._keep(piece, found)
                     out[i] = found
         missing = list(dict.fromkeys(pieces[i] for i in hard))
+        if self.ranked and (joined := [p for p in missing if p[0] in _ASCII_BLANK and p[-1] not in _ASCII_BLANK and len(p) < _LONG]):
+            new = dict(zip(joined, self._together(joined)))
+            for i in hard:
+                if (found := new.get(pieces[i])) is not None:
+                    out[i] = found
+                    self._keep(pieces[i], found)
+            hard = [i for i in hard if out[i] is None]
+            missing = [p for p in missing if p not in new]
+        if not missing:
+            return
         encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
         new = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(missing, encoded)}
         for i in hard:
             out[i] = new[pieces[i]]
             self._keep(pieces[i], out[i])
 
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that can stand one behind the other, from one call for all of them."""
+        ids = self.ranked.encode_to_numpy(" x" + "".join(pieces))[1:]
+        borders = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces])
+        cuts = (4 * np.searchsorted(np.cumsum(self.size[ids]), borders, "right")).tolist()
+        data = ids.astype("<u4").tobytes()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
     def _keep(self, piece: str, found: bytes) -> None:
         if len(piece) <= _LONGEST:
             self.known[piece] = found
