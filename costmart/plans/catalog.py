@@ -983,8 +983,8 @@ def _(e: Env) -> DataFrame:
     writers.write_clustered(_old(staged).drop("usage_hour_ntz"), f"{root}/stg_query_history")
     old_hourly = hourly.drop("usage_hour_ntz").withColumn("warehouse_id", F.lit(None).cast("bigint"))
     writers.write_table(old_hourly, f"{root}/int_hourly_compute_costs", "usage_date")
-    built = marts.build_incremental(e.spark, root, e.sources(), e.cfg)
-    return built["int_hourly_compute_costs"].select(*hourly.columns)
+    loaded = marts.load_incremental(e.spark, root, e.sources(), e.cfg)
+    return loaded["int_hourly_compute_costs"].select(*hourly.columns)
 
 
 query(

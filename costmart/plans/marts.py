@@ -113,14 +113,12 @@ def build_small_marts(tables: dict[str, DataFrame], sources: Sources, cfg: Confi
     return t
 
 
-def build_incremental(spark: SparkSession, root: str, sources: Sources, cfg: Config) -> dict[str, DataFrame]:
-    """Merge what arrived since each table's high-water mark, then bring the marts up to date.
+def load_incremental(spark: SparkSession, root: str, sources: Sources, cfg: Config) -> dict[str, DataFrame]:
+    """Merge what arrived since each table's high-water mark into the staged tables and the hourly costs.
 
     Each table is loaded by itself: one that is missing is built from all its source holds, one that is
     stored is repaired (columns and buckets that older versions lacked) and merged into. A stored table is
-    never overwritten from a source that is cut at its horizon. Every merge notes the dates it changed;
-    marts that grow with usage are computed again for those dates only, windows from the first of them on.
-    Notes are dropped when all marts are done, so a run that dies is made up for by the next.
+    never overwritten from a source that is cut at its horizon. Every merge notes the dates it changed.
     """
     root = root.rstrip("/")
     store = store_under(root)
@@ -203,6 +201,24 @@ def build_incremental(spark: SparkSession, root: str, sources: Sources, cfg: Con
     else:
         first_load(name, hourly_costs(metering, queries, cfg))
 
+    return t
+
+
+def build_incremental(spark: SparkSession, root: str, sources: Sources, cfg: Config) -> dict[str, DataFrame]:
+    """Load the staged tables, then bring the marts up to date.
+
+    Marts that grow with usage are computed again for the changed dates only, windows from the first of them
+    on. The notes of changes are dropped when all marts are done, so a run that dies is made up for by the next.
+    """
+    root = root.rstrip("/")
+    t = load_incremental(spark, root, sources, cfg)
+
+    def at(name: str) -> str:
+        return f"{root}/{name}"
+
+    def changed(name: str) -> list | None:
+        return inc.changed_dates(spark, at(name))
+
     def by_date(name: str, make, upstream: str, dates: list | None) -> None:
         t[name] = con.refresh_dates(spark, at(name), make, t[upstream], at(upstream), dates)
 
@@ -220,7 +236,7 @@ def build_incremental(spark: SparkSession, root: str, sources: Sources, cfg: Con
     by_date("int_warehouse_sizes", lambda log: size_uses(log, "usage_date"), "stg_query_history", changed("stg_query_history"))
     by_date("int_warehouse_hours", meter_hours, "stg_warehouse_metering", changed("stg_warehouse_metering"))
     t["dim_warehouse"] = dim_from_state(t.pop("int_warehouse_hours"), t.pop("int_warehouse_sizes"))
-    built = build_small_marts(t, sources, cfg, store)
+    built = build_small_marts(t, sources, cfg, store_under(root))
     for name in ("stg_warehouse_metering", "stg_query_history", "stg_storage_usage", "int_hourly_compute_costs", *CHANGING):
         inc.take_changes(spark, at(name))
     return built
