@@ -16,8 +16,10 @@ block only one edge per fingerprint to its local root leaves; alternating stars
 Defined results: NULL, empty and blank texts have fingerprint 0 and are linked like any other; texts of one
 to three words are one shingle. Rows with a NULL id are fingerprinted and linked, and get the smallest
 non-NULL id of their group, NULL if it has none. Repeated rows are all returned. An empty table gives no
-rows. Extra columns are not read by `query` and are kept by `stage`. The pipeline's `stage` groups by shingle
-similarity (`similar`) instead, with the same rules for odd rows.
+rows. Extra columns are not read by `query` and are kept by `stage`.
+
+Trees are built where their block is searched and are not broadcast: all of them together grow with the
+corpus, so no size bound could be shown for them.
 """
 
 from __future__ import annotations
@@ -34,8 +36,6 @@ from pyspark.sql import functions as F
 
 from costmart.llm.components import components
 from costmart.llm.frames import spare, table
-from costmart.llm.similar import groups as similar_groups
-from costmart.llm.similar import profiles
 from costmart.session import stage_table
 
 SEED = 42
@@ -220,18 +220,19 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of `similar`: the one with the smallest id (NULL ids last, then by text hash)."""
-    profile, key, root, least = spare(docs, "_profile", "_key", "_root", "_least")
+    """One document of each group: the one with the smallest id (NULL ids last, then by text hash).
+
+    Only narrow rows are grouped; whole rows meet the keys of those that stay, and are fingerprinted once.
+    """
+    key, root, least = spare(docs, "_key", "_root", "_least")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
-    # Whole rows, so that the texts are cut into shingles once.
-    coded = stage_table(docs.withColumn(profile, profiles(F.col("text"))).withColumn(key, order), "similar")
-    code = F.col(f"{profile}.code")
-    found = similar_groups(coded.select(f"{profile}.*", "text"))
-    narrow = coded.select(code.alias("code"), F.col(key).alias("key"))
-    first = stage_table(narrow.join(found, "code").groupBy("root").agg(F.min("key").alias("key")), "similar-first")
-    # The first row of each group by (id, text): a narrow table; rows equal to it are told apart below.
-    firsts = found.join(first, "root").select(F.col("code").alias(f"{profile}2"), F.col("root").alias(root), F.col("key").alias(least))
-    kept = coded.join(firsts, (code == F.col(f"{profile}2")) & (F.col(key) == F.col(least)))
+    narrow = stage_table(docs.select("doc_id", fingerprints(F.col("text")).alias("code"), order.alias("key")), "simhash")
+    found = groups(narrow, "code", "doc_id").select("code", "root")
+    # Copies collapse to one row before they meet their group.
+    first = narrow.groupBy("code").agg(F.min("key").alias("key")).join(found, "code").groupBy("root").agg(F.min("key").alias("key"))
+    first = stage_table(first.select(F.col("root").alias(root), F.col("key").alias(least)), "simhash-first")
+    kept = docs.withColumn(key, order).join(first, F.col(key) == F.col(least))
+    # Rows equal in id and text are one document given more than once.
     if narrow.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").head(1):
         kept = kept.dropDuplicates([root])
     return kept.select(docs.columns)

@@ -91,6 +91,30 @@ def test_query_equals_brute_force(spark):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in found} == {i: (f"{c:016x}", least[root[c]]) for i, c in code.items()}
 
 
+def test_stage_keeps_one_of_each_group(spark):
+    """A third of the rows are one text, some of them with one id; further texts lie within and beyond the radius."""
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(900)}" for _ in range(400)]
+    texts = [" ".join(base)] * 40
+    for changes in (1, 1, 2, 4, 20, 200):
+        for _ in range(8):
+            other = list(base)
+            for _ in range(changes):
+                other[rnd.randrange(400)] = f"x{rnd.randrange(900)}"
+            texts.append(" ".join(other))
+    rows = [(i, t, "a") for i, t in enumerate(texts)] + [(3, texts[3], "b")] * 12
+    rnd.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string")
+    code = {i: slow_fingerprint(t) for i, t in enumerate(texts)}
+    root = brute(sorted(set(code.values())))
+    least: dict = {}
+    for i in sorted(code):
+        least.setdefault(root[code[i]], i)
+    kept = S.stage(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values()) and 2 < len(least) < 48
+
+
 def test_odd_rows(spark, odd, none):
     kept = S.stage(spark, odd, DATA)
     assert kept.columns == odd.columns
