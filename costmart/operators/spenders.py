@@ -103,8 +103,10 @@ def ranked_spenders(rows: DataFrame) -> DataFrame:
     """Ranks within the day, shares of the day and a 7-row rolling cost per user.
 
     A day may hold any number of users, so nothing sorts or buffers one. The three measures become rows
-    (day and measure, value), whose distinct values are counted and ranked together; each rank comes back
-    by a join on its value, and day totals by an aggregation. Ties and NULLs included, this is exact.
+    (day and measure, value), whose distinct values are counted and ranked together. All ranks come back by
+    one join on the value; the first measure's row carries the user's figures, and the three rows of a user
+    and day meet where the user's rolling cost is taken, in one shuffle for both. Day totals come from an
+    aggregation. Ties and NULLs included, this is exact.
 
     `rows`, one per user and day, are stored, and so are the ranks: both are read by several branches. Rows
     that are only carried for the rolling cost are neither ranked nor returned.
@@ -117,24 +119,41 @@ def ranked_spenders(rows: DataFrame) -> DataFrame:
         "rank_by_cost": sortable(F.col("estimated_cost_usd"), 6),
     }
 
-    def of(alias: str):
-        return F.concat(F.lit(f"{alias}|"), group_text("usage_date"))
+    def measures(*figures):
+        """One row per measure: its day and value, and the figures with the first."""
+        parts = []
+        for place, (alias, value) in enumerate(ranked_by.items()):
+            day = F.concat(F.lit(f"{alias}|"), group_text("usage_date"))
+            own = [F.when(F.lit(place == 0), f).alias("figures") for f in figures]
+            parts.append(F.struct(F.lit(place).alias("place"), day.alias("day"), value.alias("value"), *own))
+        return F.explode(F.array(*parts)).alias("m")
 
-    measures = F.explode(F.array(*[F.struct(of(a).alias("day"), v.alias("value")) for a, v in ranked_by.items()]))
     ranks = stage_table(
-        descending_ranks(spenders.select(measures.alias("m")).select("m.*"), "day", F.col("value")), "spender-ranks"
+        descending_ranks(spenders.select(measures()).select("m.day", "m.value"), "day", F.col("value")), "spender-ranks"
+    )
+    figures = F.struct(*[c for c in spenders.columns if c not in USER_DAY])
+    exploded = spenders.select(*USER_DAY, measures(figures)).select(*USER_DAY, "m.*")
+    found = add_rank(exploded, ranks, "day", F.col("value"), "rank")
+    if carried:
+        before = rows.where("_carried").select(*USER_DAY, F.lit(0).alias("place"), figures.alias("figures"))
+        found = found.unionByName(before, allowMissingColumns=True)
+    # By user: the aggregation and the window below share this shuffle and its sort.
+    found = found.repartition("user_name").groupBy("user_name", "usage_date").agg(
+        F.first("figures", ignorenulls=True).alias("figures"),
+        *[F.max(F.when(F.col("place") == i, F.col("rank"))).alias(alias) for i, alias in enumerate(ranked_by)],
     )
     # One row per user and calendar day.
     last_7 = W.partitionBy("user_name").orderBy("usage_date").rowsBetween(-6, 0)
-    rolling = rows.withColumn("rolling_7d_cost_usd", F.sum("estimated_cost_usd").over(last_7).cast(COST))
-    rolling = rolling.where("NOT _carried") if carried else rolling
+    rolling = found.select(*USER_DAY, "figures.*", *ranked_by).withColumn(
+        "rolling_7d_cost_usd", F.sum("estimated_cost_usd").over(last_7).cast(COST)
+    )
+    # A carried row has no rank; every other row has one.
+    rolling = rolling.where("rank_by_query_count IS NOT NULL") if carried else rolling
     # One row per calendar date; Spark broadcasts it by its measured size.
     totals = spenders.groupBy(F.col("usage_date").alias("_day")).agg(
         F.sum("query_count").alias("_day_queries"), F.sum("estimated_cost_usd").cast(COST).alias("_day_cost")
     )
     ranked = rolling.join(totals, F.col("usage_date").eqNullSafe(F.col("_day")), "left")
-    for alias, value in ranked_by.items():
-        ranked = add_rank(ranked.withColumn("_measure", of(alias)), ranks, "_measure", value, alias).drop("_measure")
     hundred = F.lit(Decimal(100))
     return ranked.select(
         X.surrogate_key(F.col("user_name"), F.col("usage_date")).alias("top_spender_id"),
