@@ -188,14 +188,18 @@ def upsert_table(
     touched = fresh.select(partition_by)
     if not key_implies_partition:
         finish_pending(spark, keyindex.index_path(path))
-        keyindex.ensure_index(spark, path, target, key, partition_by)
-        touched = touched.unionByName(keyindex.dates_of_keys(spark, path, target, fresh, key, partition_by))
+        noted = keyindex.ensure_index(spark, path, target, key, partition_by, fresh)
+        if noted:  # the index now holds the batch, too; what it was built from has fewer rows
+            hit = target.select(key, partition_by).join(fresh.select(key), key, "left_semi").select(partition_by)
+        else:
+            hit = keyindex.dates_of_keys(spark, path, target, fresh, key, partition_by)
+        touched = touched.unionByName(hit)
     # At most one value per calendar date.
     dates = [r[0] for r in touched.distinct().collect()]
     if not dates:
         return target
     kept, fresh = sync_schema(not_replaced(target.where(on_dates(partition_by, dates)), fresh, key), fresh)
-    if not key_implies_partition:
+    if not key_implies_partition and not noted:
         keyindex.append_keys(spark, path, fresh, key, partition_by)
     note_changes(spark, path, dates)
     replace_dates(spark, path, kept.unionByName(fresh), dates, partition_by, sort_by)

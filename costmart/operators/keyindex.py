@@ -50,12 +50,20 @@ def append_keys(spark: SparkSession, path: str, rows: DataFrame, key: str, date:
     pairs.write.mode("append").partitionBy("_bucket").parquet(index_path(path))
 
 
-def ensure_index(spark: SparkSession, path: str, table: DataFrame, key: str, date: str) -> None:
-    """Build the index of a table that has none, by one scan of two columns."""
-    if bucket_count(spark, path) is None:
-        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, table.count() // KEYS_A_BUCKET))
-        _pairs(table, key, date, buckets).write.mode("overwrite").partitionBy("_bucket").parquet(index_path(path))
-        files.write_note(spark, _buckets_note(path), buckets)
+def ensure_index(spark: SparkSession, path: str, table: DataFrame, key: str, date: str, rows: DataFrame | None = None) -> bool:
+    """Build the index of a table that has none, by one scan of two columns; whether it did.
+
+    `rows` that are about to be merged are noted by the same write, so they need not be appended.
+    """
+    if bucket_count(spark, path) is not None:
+        return False
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, table.count() // KEYS_A_BUCKET))
+    held = table.select(key, date)
+    if rows is not None:
+        held = held.unionByName(rows.select(key, date))
+    _pairs(held, key, date, buckets).write.mode("overwrite").partitionBy("_bucket").parquet(index_path(path))
+    files.write_note(spark, _buckets_note(path), buckets)
+    return True
 
 
 def drop_index(spark: SparkSession, path: str) -> None:

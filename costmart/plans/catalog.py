@@ -977,10 +977,11 @@ query("i02_upsert_null_key", f"select * replace ({_HOLE.format('query_id')}) fro
 def _(e: Env) -> DataFrame:
     """Stored tables of an older version (no hour bucket, no warehouse id), brought up to date by one run."""
     root = scratch_path(e.spark, "legacy")
-    metering, staged = e.stored(e.sm(), "metering"), e.stored(e.sq(), "staged")
-    hourly = H.hourly_costs(_old(metering), _old(staged), e.cfg)
-    writers.write_table(_old(metering).drop("usage_hour_ntz"), f"{root}/stg_warehouse_metering", "usage_date")
-    writers.write_clustered(_old(staged).drop("usage_hour_ntz"), f"{root}/stg_query_history")
+    # The log grows without bound: its old rows are written once, in their place, and read from there.
+    metering = e.stored(_old(e.sm()), "metering")
+    log = writers.write_clustered(_old(e.sq()).drop("usage_hour_ntz"), f"{root}/stg_query_history")
+    hourly = H.hourly_costs(metering, I.backfill(log), e.cfg)
+    writers.write_table(metering.drop("usage_hour_ntz"), f"{root}/stg_warehouse_metering", "usage_date")
     old_hourly = hourly.drop("usage_hour_ntz").withColumn("warehouse_id", F.lit(None).cast("bigint"))
     writers.write_table(old_hourly, f"{root}/int_hourly_compute_costs", "usage_date")
     loaded = marts.load_incremental(e.spark, root, e.sources(), e.cfg)

@@ -11,7 +11,8 @@ from costmart.operators import continued as con
 from costmart.operators import incremental as I
 from costmart.operators import keyindex as K
 from costmart.operators import warehouses as WH
-from costmart.plans import marts
+from costmart.plans import catalog, marts
+from costmart.session import stage_table
 from costmart.sources import files
 from costmart.sources.adapter import Inputs
 from costmart.sources.writers import write_table
@@ -77,6 +78,28 @@ def test_index_covers_the_table_after_a_run_that_died_and_after_folding(spark, t
     assert out.select("k", "usage_date").exceptAll(pairs.distinct()).count() == 0
 
 
+def test_the_merge_that_builds_the_index_writes_it_once(spark, tmp_path):
+    """The batch goes into the index by the write that builds it; the log is then not read back through it."""
+    path = f"{tmp_path}/t"
+    I.upsert_table(spark, path, spark.createDataFrame([(str(i), 0, days(9)[i % 9]) for i in range(40)] + [(None, 0, DAY)], SCHEMA), "k", ["seq"])
+    out = I.upsert_table(spark, path, spark.createDataFrame([(str(i), 1, days(9)[8]) for i in range(30, 60)] + [(None, 0, DAY)], SCHEMA), "k", ["seq"])
+    assert {r.k: (r.seq, r.usage_date) for r in out.where("k is not null").collect()} == {
+        str(i): (0, days(9)[i % 9]) if i < 30 else (1, days(9)[8]) for i in range(60)
+    }
+    assert out.where("k is null").count() == 1
+    names = [files.names(spark, f"{K.index_path(path)}/_bucket={b}") for b in range(K.LEAST_BUCKETS)]
+    assert max(sum(f.endswith(".parquet") for f in n) for n in names) == 1
+    pairs = spark.read.parquet(K.index_path(path)).select("k", "usage_date")
+    assert out.where("k is not null").select("k", "usage_date").exceptAll(pairs).count() == 0
+
+
+def test_the_legacy_query_writes_its_log_once(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(catalog, "stage_table", lambda df, name: staged.append(name) or stage_table(df, name))
+    catalog.QUERIES["i04_legacy_tables"](spark, DATA)
+    assert "staged" not in staged
+
+
 def test_a_merge_reads_the_noted_schema_and_no_footers(spark, tmp_path):
     path = f"{tmp_path}/t"
     I.upsert_table(spark, path, spark.createDataFrame([("a", 1, DAY)], SCHEMA), "k", ["seq"])
