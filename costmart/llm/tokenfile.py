@@ -9,11 +9,14 @@ places in that list:
   predictions of the same confidence came true is counted; where both orders predict the same id, the two
   rates are mixed by a weight that moves to the order that did better;
 - order 0 codes ids that no prediction gives: the list is ordered by frequency in classes of doubling size,
-  and an adaptive distribution over the classes is followed by the place within the class.
+  and a distribution over the classes, counted so far and brought up to date every 32 ids, is followed by the
+  place within the class.
 
-The intervals of these distributions drive a 32-bit range coder with 16-bit words and carries. All
+The intervals of these distributions drive a 62-bit range coder with 32-bit words and carries: all that
+codes one id narrows the range before a word is due, so a step writes or reads one word at most. All
 arithmetic is on integers, so every machine decodes alike. Blocks are independent, so a task codes the
-blocks of a frame side by side, one id of each at a time.
+blocks of a frame side by side, one id of each at a time; a step costs much the same for few blocks as
+for a thousand, so frames are long.
 
 Defined results: NULL and empty texts have only the end id. Rows without id come first, as in Spark's
 ascending order; repeated ids follow each other in no fixed order, each with its own start. An empty table
@@ -39,139 +42,174 @@ from costmart.session import scratch_path, stage_table
 
 END_ID = 1
 BLOCK = 2048
-FRAME = 1 << 22
+FRAME = 1 << 23
 _TOTAL = 1 << 15
 _LEAST = 64
-_SLOTS = 4096
+_MOST = _TOTAL - 512
+_SLOTS = 2048
+# The place of no id: tables start with it, at confidence 0.
+_NONE = BLOCK << 3
 # An id's class in its block: the bit length of its rank by frequency. Class k holds 2^(k-1) ranks.
 _CLASS = np.array([i.bit_length() for i in range(BLOCK + 1)])
-_PLACES = np.arange(17, dtype=np.int64)[None, :]
+_CLASSES = BLOCK.bit_length()
+_BITS = np.maximum(np.arange(_CLASSES) - 1, 0)  # of the place within each class
+_BASE = np.where(np.arange(_CLASSES) > 0, 1 << _BITS, 0)  # its first place
+_NAME_BITS = 21
+# Coders hold 62 bits, of which the upper 32 are the next word.
+_STATE, _WORD, _LOW = 1 << 62, 1 << 30, (1 << 30) - 1
 
 
 class _Model:
     """The adaptive state of a number of blocks side by side; encoder and decoder update it alike.
 
-    A prediction is stored as place << 2 | confidence, -1 where there is none. Tables are flat: one
-    stretch per block.
+    A prediction is stored as place << 3 | confidence, from 1 to 4 or 0 where there is none. What is kept
+    for order 1 and order 2 has them as its two rows.
     """
 
     def __init__(self, blocks: int):
-        every = np.arange(blocks)
-        self.row1, self.row2, self.rows = every * (BLOCK + 1), every * _SLOTS, every * 8
-        self.next1 = np.full(blocks * (BLOCK + 1), -1, np.int32)
-        self.next2 = np.full(blocks * _SLOTS, -1, np.int32)
-        # Rates at which predictions of each confidence came true: order 1, then order 2.
-        self.rate = np.tile(np.array([4, 16, 24, 28] * 2, np.int64) << 10, blocks)
-        self.weight = np.full(blocks, 8, np.int64)
-        self.classes = np.tile(np.arange(17, dtype=np.int64) * (_TOTAL // 16), (blocks, 1))
+        self.blocks = np.int64(blocks)
+        self.lane = np.arange(blocks)
+        self.row = np.stack((self.lane * (BLOCK + 1), blocks * (BLOCK + 1) + self.lane * _SLOTS))
+        self.next = np.full(blocks * (BLOCK + 1 + _SLOTS), _NONE, np.int16)
+        # Rates at which predictions of each confidence came true.
+        self.rate = np.tile(np.array([0, 4, 16, 24, 28, 0, 0, 0], np.int16) << 10, 2 * blocks)
+        self.rates = np.arange(2 * blocks).reshape(2, blocks) << 3
+        self.weight = np.full(blocks, 8, np.int8)
+        self.seen = np.ones((_CLASSES, blocks), np.int64)
+        self.classes = np.zeros((_CLASSES + 1, blocks), np.int64)
+        self.classes[-1] = _TOTAL
         self.last = np.full(blocks, BLOCK)  # a place that no id has
         self.before = np.full(blocks, BLOCK)
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(order-2 candidate, its frequency, order-1 candidate, its frequency) for the first n blocks."""
-        self.at1 = self.row1[:n] + self.last[:n]
-        self.at2 = self.row2[:n] + (self.before[:n] * 1181 + self.last[:n] * 7 & _SLOTS - 1)
-        e1, e2 = self.next1.take(self.at1), self.next2.take(self.at2)
-        self.have1, self.have2 = e1 >= 0, e2 >= 0
-        self.p1, self.p2, self.c1, self.c2 = e1 >> 2, e2 >> 2, e1 & 3, e2 & 3
-        self.i1, self.i2 = self.rows[:n] + self.c1, self.rows[:n] + self.c2 + 4
-        self.r1, self.r2 = self.rate.take(self.i1), self.rate.take(self.i2)
-        self.same = (self.p1 == self.p2) & self.have1
-        mixed = self.r1 + (self.weight[:n] * (self.r2 - self.r1) >> 4)
-        first = np.where(self.same, mixed, self.r2) * self.have2
-        second = ((_TOTAL - first) * self.r1 >> 15) * (self.have1 & ~self.same)
-        return self.p2, first, self.p1, second
-
-    def update(self, n: int, place: np.ndarray) -> None:
-        hit1, hit2 = self.p1 == place, self.p2 == place
-        for i, old, hit, have in ((self.i1, self.r1, hit1, self.have1), (self.i2, self.r2, hit2, self.have2)):
-            # Between the least and the most, so that every outcome keeps a chance.
-            self.rate[i] = old + ((hit * (_TOTAL - 4 * _LEAST) + _LEAST - old >> 5) * have)
-        better = np.where((self.r2 > self.r1) == hit2, self.same, -self.same.astype(np.int64))
-        np.clip(self.weight[:n] + better, 1, 15, out=self.weight[:n])
-        entry = place << 2
-        self.next1[self.at1] = entry | np.minimum(self.c1 + 1, 3) * hit1
-        self.next2[self.at2] = entry | np.minimum(self.c2 + 1, 3) * hit2
-        self.before[:n] = self.last[:n]
-        self.last[:n] = place
-
-    def learn_class(self, block: np.ndarray, cdf: np.ndarray, kind: np.ndarray) -> None:
-        """Move the order-0 distribution towards a class; every class keeps at least 1/2048."""
-        target = (_PLACES > kind[:, None]) * (_TOTAL - (16 << 4)) + (_PLACES << 4)
-        self.classes[block] = cdf + ((target - cdf) >> 5)
-        self.classes[block, 16] = _TOTAL
+        self.steps = 0
+
+    def keep(self, blocks: int) -> None:
+        """Go on with the first blocks alone."""
+        for name in ("lane", "row", "rates", "weight", "last", "before"):
+            setattr(self, name, getattr(self, name)[..., :blocks])
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(order-2 candidate, its frequency, order-1 candidate, frequency of both) per block."""
+        if self.steps & 31 == 0 or self.steps & (self.steps - 1) == 0:
+            self._spread()
+        self.steps += 1
+        self.at = self.row.copy()
+        self.at[0] += self.last
+        self.at[1] += self.last * 1181 + self.before & _SLOTS - 1
+        entry = self.next.take(self.at, mode="clip")
+        self.place, self.sure = entry >> 3, entry & 7
+        self.which = self.rates + self.sure
+        self.old = self.rate.take(self.which, mode="clip")
+        (p1, p2), (r1, r2) = self.place, self.old.astype(np.int64)
+        self.same, gap = p1 == p2, r2 - r1
+        self.better2 = gap > 0
+        first = np.where(self.same, r1 + (self.weight * gap >> 4), r2)
+        second = ((_TOTAL - first) * r1 >> 15) * ~self.same
+        # An id that neither order gives keeps a chance of 1/128.
+        return p2, first, p1, np.minimum(first + second, _TOTAL - 256)
+
+    def update(self, place: np.ndarray) -> None:
+        small = place.astype(np.int16)
+        hit = self.place == small
+        # Between the least and the most, so that every outcome keeps a chance.
+        self.rate[self.which] = self.old + (hit * np.int16(_MOST - _LEAST) - (self.old - np.int16(_LEAST)) >> 5)
+        right = (self.better2 == hit[1]).view(np.int8)
+        self.weight = np.minimum(np.maximum(self.weight + (right + right - np.int8(1)) * self.same, np.int8(1)), np.int8(15))
+        self.next[self.at] = (small << 3) | np.minimum(self.sure * hit + np.int16(1), np.int16(4))
+        self.before, self.last = self.last, place
+
+    def _spread(self) -> None:
+        """The order-0 distribution as counted so far; every class keeps at least 1/2048."""
+        share = (_TOTAL - 16 * _CLASSES << 32) // self.seen.sum(0)
+        below = np.zeros(self.seen.shape[1], np.int64)
+        for kind in range(_CLASSES - 1):
+            below += self.seen[kind]
+            self.classes[kind + 1] = (below * share >> 32) + 16 * (kind + 1)
+        self.borders = self.classes[1:-1].astype(np.int16)
+
+    def interval(self, kind: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, size) of a class per block, which is counted where `rest` is 1."""
+        at = kind * self.blocks + self.lane
+        classes, seen = self.classes.reshape(-1), self.seen.reshape(-1)
+        start = classes.take(at, mode="clip")
+        size = classes.take(at + self.blocks, mode="clip") - start
+        seen[at] = seen.take(at, mode="clip") + rest
+        return start, size
 
 
 class _Writer:
-    """Range coders side by side. Words may hold a carry until the end."""
+    """Range coders side by side, by 32-bit words that may hold a carry until the end.
 
-    def __init__(self, blocks: int):
+    A range is at least 2^30 before an id, and all that codes one id takes less than 30 bits of it, so that
+    one word at most is due after each.
+    """
+
+    def __init__(self, blocks: int, steps: int):
         self.low = np.zeros(blocks, np.int64)
-        self.range = np.full(blocks, (1 << 32) - 1, np.int64)
-        self.words = np.zeros((blocks, 256), np.int64)
-        self.used = np.zeros(blocks, np.int64)
-        self.most = 0
-
-    def put(self, block: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
-        unit = self.range[block] >> 15
-        low, width = self.low[block] + start * unit, size * unit
-        full = np.flatnonzero(width < 1 << 16)
-        if full.size:
-            self._emit(full if isinstance(block, slice) else block[full], low[full] >> 16)
-            low[full] = (low[full] & 0xFFFF) << 16
-            width[full] <<= 16
-        self.low[block], self.range[block] = low, width
-
-    def _emit(self, block: np.ndarray, word: np.ndarray) -> None:
-        self.most += 1  # no block has more words than there were calls
-        if self.most >= self.words.shape[1] and int(self.used.max()) + 4 >= self.words.shape[1]:
-            self.words = np.concatenate((self.words, np.zeros_like(self.words)), axis=1)
-        used = self.used[block]
-        self.words[block, used] = word
-        self.used[block] = used + 1
+        self.range = np.full(blocks, _STATE, np.int64)
+        # A row per word and a column per block.
+        self.blocks, self.words = blocks, np.zeros((steps + 2) * blocks, np.int64)
+        self.at = np.arange(blocks)
+        self.ended: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def keep(self, blocks: int) -> None:
+        self.ended.append((self.low[blocks:], self.at[blocks:]))
+        self.low, self.range, self.at = self.low[:blocks], self.range[:blocks], self.at[:blocks]
+
+    def emit(self) -> None:
+        # Blocks that have no word to give write one that the next overwrites.
+        self.words[self.at] = self.low >> 30
+        short = (self.range < _WORD).astype(np.int64)
+        bits = short << 5
+        self.at = self.at + short * self.blocks
+        self.low = (self.low & (_LOW | short - 1)) << bits
+        self.range = self.range << bits
 
     def finish(self) -> list[bytes]:
-        every = np.arange(len(self.low))
-        self._emit(every, self.low >> 16)
-        self._emit(every, self.low & 0xFFFF)
-        for i in range(int(self.used.max(initial=0)) - 1, 0, -1):
-            self.words[:, i - 1] += self.words[:, i] >> 16
-        raw = (self.words & 0xFFFF).astype("<u2")
-        return [raw[b, : self.used[b]].tobytes() for b in every]
+        self.keep(0)
+        parts = self.ended[::-1]
+        low, at = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        self.words[at] = low + _LOW >> 30  # one word that ends within the range
+        used = at // self.blocks + 1
+        words = self.words.reshape(-1, self.blocks)[: int(used.max())]
+        for i in range(len(words) - 1, 0, -1):
+            words[i - 1] += words[i] >> 32
+        raw = words.astype("<u4").T.copy()
+        return [raw[b, :n].tobytes() for b, n in enumerate(used.tolist())]
 
 
 class _Reader:
     def __init__(self, coded: list[bytes]):
-        longest = max(map(len, coded), default=0) // 2
-        self.words = np.zeros((len(coded), longest + 4), np.int64)
+        # A row per word and a column per block. Blocks end with zeros, as many as may be read.
+        self.blocks, longest = len(coded), max(map(len, coded)) // 4 + 3
+        words = np.zeros((self.blocks, longest), "<u4")
         for b, raw in enumerate(coded):
-            self.words[b, : len(raw) // 2] = np.frombuffer(raw, "<u2")
-        self.code = (self.words[:, 0] << 16) | self.words[:, 1]
-        self.at = np.full(len(coded), 2)
-        self.range = np.full(len(coded), (1 << 32) - 1, np.int64)
-
-    def target(self, block: np.ndarray | slice) -> np.ndarray:
-        self.unit = self.range[block] >> 15
-        return np.minimum(self.code[block] // self.unit, _TOTAL - 1)
-
-    def take(self, block: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
-        code, width = self.code[block] - start * self.unit, size * self.unit
-        full = np.flatnonzero(width < 1 << 16)
-        if full.size:
-            which = full if isinstance(block, slice) else block[full]
-            at = np.minimum(self.at[which], self.words.shape[1] - 1)  # broken blocks may run over
-            code[full] = (code[full] << 16) | self.words[which, at]
-            width[full] <<= 16
-            self.at[which] = at + 1
-        self.code[block], self.range[block] = code, width
-
-
-def _varints(values: np.ndarray) -> bytes:
-    """Seven bits a byte, least first; values are under 2^21."""
+            words[b, : len(raw) // 4] = np.frombuffer(raw, "<u4", len(raw) // 4)
+        words = words.T.copy()
+        self.code = words[0].astype(np.int64) << 30 | words[1] >> 2
+        # What is read from here on: the last two bits of a word and thirty of the next.
+        self.words = (words[1:-1] << 30 | words[2:] >> 2).reshape(-1)
+        self.at = np.arange(self.blocks)
+        self.end = np.arange(self.blocks) + (longest - 3) * self.blocks
+        self.range = np.full(self.blocks, _STATE, np.int64)
+
+    def keep(self, blocks: int) -> None:
+        for name in ("code", "at", "end", "range"):
+            setattr(self, name, getattr(self, name)[:blocks])
+
+    def fill(self) -> None:
+        short = (self.range < _WORD).astype(np.int64)
+        bits = short << 5
+        self.code = self.code << bits | self.words.take(self.at, mode="clip") * short
+        self.at = np.minimum(self.at + short * self.blocks, self.end)  # broken blocks may run over
+        self.range = self.range << bits
+
+
+def _varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Seven bits a byte, least first, and the number of bytes of each; values are under 2^21."""
     parts = np.stack((values & 127 | 128, values >> 7 & 127 | 128, values >> 14), axis=1).astype(np.uint8)
     size = 1 + (values > 127) + (values > 16383)
     parts[np.arange(len(values)), size - 1] &= 127
-    return parts[np.arange(3)[None, :] < size[:, None]].tobytes()
+    return parts[np.arange(3)[None, :] < size[:, None]], size
 
 
 def _from_varints(raw: np.ndarray) -> np.ndarray:
@@ -183,9 +221,40 @@ def _from_varints(raw: np.ndarray) -> np.ndarray:
     return value
 
 
-def _class_starts(count: int) -> list[int]:
-    """Places at which the classes of a list of ids start."""
-    return [i for i in (0, *(1 << k for k in range(11))) if i < count]
+def _within(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(block, place) of the entries of lists laid end to end, from the entry at which each begins."""
+    sizes = np.diff(first)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(first[-1]) - first[owner]
+
+
+def _listed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lists of the blocks end to end, the entry at which each begins, and the place of every id [place, block].
+
+    Frequent ids get small places; within a class ids ascend, so that their list is short.
+    """
+    blocks = -(-len(ids) // BLOCK)
+    spare = blocks * BLOCK - len(ids)
+    # Ids with their position, sorted per block; what fills up the last block sorts behind it.
+    keyed = np.pad(ids, (0, spare), constant_values=(1 << _NAME_BITS) - 1).reshape(blocks, BLOCK)
+    keyed = np.sort(keyed << 11 | np.arange(BLOCK, dtype=np.uint32), axis=1).ravel()[: len(ids)]
+    name, at = keyed >> 11, keyed & BLOCK - 1
+    opens = np.empty(len(ids), bool)
+    opens[1:] = name[1:] != name[:-1]
+    opens[::BLOCK] = True
+    begins = np.flatnonzero(opens)
+    runs, bits = len(begins), len(begins).bit_length()
+    owner, counts = begins // BLOCK, np.diff(begins, append=len(ids))
+    first = np.searchsorted(owner, np.arange(blocks + 1))
+    _, rank = _within(first)
+    mask = (1 << bits) - 1
+    by_count = np.sort((owner << 12 | BLOCK - counts) << bits | np.arange(runs)) & mask
+    by_class = np.sort((owner << 4 | _CLASS[rank]) << bits | by_count) & mask
+    place = np.empty(runs, np.int16)
+    place[by_class] = rank
+    out = np.zeros((blocks, BLOCK), np.int16)
+    out.ravel()[at + (np.arange(len(ids)) & -BLOCK)] = np.repeat(place, counts)
+    return name[begins][by_class].astype(np.int64), first, out.T.copy()
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], list[int]]:
@@ -193,101 +262,97 @@ def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], list[int]]:
     ids = np.ascontiguousarray(ids, "<u4")
     if len(ids) == 0:
         return [], []
-    blocks = -(-len(ids) // BLOCK)
-    block = np.arange(len(ids)) // BLOCK
-    used, inverse, counts = np.unique(block << 32 | ids, return_inverse=True, return_counts=True)
-    owner, names = used >> 32, used & 0xFFFFFFFF
-    first = np.searchsorted(owner, np.arange(blocks + 1))
-    # Frequent ids get small places; within a class ids ascend, so that their list is short.
-    by_count = np.lexsort((-counts, owner))
-    rank = np.empty(len(used), np.int64)
-    rank[by_count] = np.arange(len(used)) - first[owner]
-    by_class = np.lexsort((names, _CLASS[rank], owner))
-    of_name = np.empty(len(used), np.int64)
-    of_name[by_class] = np.arange(len(used)) - first[owner]
-    names = names[by_class]
-    place = np.pad(of_name[inverse], (0, blocks * BLOCK - len(ids))).reshape(blocks, BLOCK).T.copy()
-    model, out = _Model(blocks), _Writer(blocks)
-    for t in range(min(BLOCK, len(ids))):
-        n = blocks if (blocks - 1) * BLOCK + t < len(ids) else blocks - 1
-        now = place[t, :n]
-        p2, first2, p1, first1 = model.predict(n)
-        is2 = (p2 == now) & (first2 > 0)
-        is1 = (p1 == now) & (first1 > 0)
-        both = first2 + first1
-        start = np.where(is2, 0, np.where(is1, first2, both))
-        size = np.where(is2, first2, np.where(is1, first1, _TOTAL - both))
-        out.put(slice(0, n), start, size)
-        rest = np.flatnonzero(~(is1 | is2))
-        if rest.size:
-            value = now[rest]
-            kind, cdf, each = _CLASS[value], model.classes[rest], np.arange(len(rest))
-            start = cdf[each, kind]
-            out.put(rest, start, cdf[each, kind + 1] - start)
-            model.learn_class(rest, cdf, kind)
-            more = np.flatnonzero(kind > 1)
-            if more.size:
-                bits = kind[more] - 1
-                out.put(rest[more], (value[more] - (1 << bits)) << 15 - bits, 1 << 15 - bits)
-        model.update(n, now)
-    coded = []
-    for b, words in enumerate(out.finish()):
-        mine = names[first[b] : first[b + 1]]
-        steps = np.diff(mine, prepend=0)
-        starts = _class_starts(len(mine))
-        steps[starts] = mine[starts]
-        listed = _varints(steps)
-        coded.append(len(mine).to_bytes(2, "little") + len(listed).to_bytes(2, "little") + listed + words)
-    return coded, [zlib.crc32(ids[b * BLOCK : (b + 1) * BLOCK].tobytes()) for b in range(blocks)]
+    if int(ids.max()) >> _NAME_BITS:
+        raise ValueError(f"ids must be under {1 << _NAME_BITS}")
+    names, first, place = _listed(ids)
+    blocks, steps, tail = place.shape[1], min(BLOCK, len(ids)), len(ids) % BLOCK
+    model, out = _Model(blocks), _Writer(blocks, steps)
+    kinds = _CLASS[:BLOCK]
+    bits, offsets = _BITS[kinds], np.arange(BLOCK) - _BASE[kinds]
+    for t in range(steps):
+        if t == tail and t and blocks > 1:
+            model.keep(blocks - 1)
+            out.keep(blocks - 1)
+        now = place[t, : len(out.low)].astype(np.int64)
+        p2, first2, p1, both = model.predict()
+        is2 = p2 == now
+        rest = ~(is2 | (p1 == now))
+        unit = out.range >> 15
+        start = np.where(rest, both, first2 * ~is2)
+        end = np.where(rest, _TOTAL, np.where(is2, first2, both))
+        width = (end - start) * unit
+        escapes, each = rest.astype(np.int64), width >> 15
+        kind = kinds.take(now)
+        first_of, size = model.interval(kind, escapes)
+        inside = np.where(rest, size * each, width) >> bits.take(now) * escapes
+        out.low = out.low + start * unit + (first_of * each + offsets.take(now) * inside) * escapes
+        out.range = inside
+        out.emit()
+        model.update(now)
+    steps = np.diff(names, prepend=0)
+    _, places = _within(first)
+    starts = places & places - 1 <= 0  # classes start at 0 and at powers of two
+    steps[starts] = names[starts]
+    listed, sizes = _varints(steps)
+    listed, cuts = listed.tobytes(), np.concatenate(([0], np.cumsum(sizes)))[first].tolist()
+    counts = np.diff(first).tolist()
+    coded = [
+        n.to_bytes(2, "little") + (z - a).to_bytes(2, "little") + listed[a:z] + words
+        for n, a, z, words in zip(counts, cuts, cuts[1:], out.finish())
+    ]
+    return coded, [zlib.crc32(ids[b * BLOCK : (b + 1) * BLOCK]) for b in range(blocks)]
+
+
+def _names(coded: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """The ids by place, a row per block, and what follows the lists."""
+    counts = [int.from_bytes(raw[:2], "little") for raw in coded]
+    sizes = [int.from_bytes(raw[2:4], "little") for raw in coded]
+    steps = _from_varints(np.frombuffer(b"".join(raw[4 : 4 + n] for raw, n in zip(coded, sizes)), np.uint8))
+    owner, places = _within(np.concatenate(([0], np.cumsum(counts))))
+    if len(owner) != len(steps) or max(counts) > BLOCK:
+        raise ValueError("lists of ids do not match their checksum or size")
+    starts = np.flatnonzero(places & places - 1 <= 0)
+    total = np.cumsum(steps)
+    total -= np.repeat((total - steps)[starts], np.diff(starts, append=len(steps)))
+    names = np.zeros((len(coded), BLOCK), "<u4")
+    names[owner, places] = total
+    return names, [raw[4 + n :] for raw, n in zip(coded, sizes)]
 
 
 def decode_blocks(coded: list[bytes], total: int, sums: list[int]) -> np.ndarray:
     """The ids of `total` coded places, checked against the blocks' sums."""
     if not total:
         return np.empty(0, "<u4")
-    blocks = len(coded)
-    names = np.zeros((blocks, BLOCK), np.int64)
-    words = []
-    for b, raw in enumerate(coded):
-        count, size = int.from_bytes(raw[:2], "little"), int.from_bytes(raw[2:4], "little")
-        steps = _from_varints(np.frombuffer(raw, np.uint8, size, 4))
-        starts = _class_starts(count)
-        for a, z in zip(starts, [*starts[1:], count]):
-            names[b, a:z] = np.cumsum(steps[a:z])
-        words.append(raw[4 + size :])
+    names, words = _names(coded)
+    blocks, steps, tail = len(coded), min(BLOCK, total), total % BLOCK
     model, source = _Model(blocks), _Reader(words)
-    place = np.zeros((BLOCK, blocks), np.int64)
-    for t in range(min(BLOCK, total)):
-        n = blocks if (blocks - 1) * BLOCK + t < total else blocks - 1
-        p2, first2, p1, first1 = model.predict(n)
-        both, rows = first2 + first1, slice(0, n)
-        target = source.target(rows)
-        is2 = target < first2
-        escape = target >= both
-        start = np.where(is2, 0, np.where(escape, both, first2))
-        size = np.where(is2, first2, np.where(escape, _TOTAL - both, first1))
-        source.take(rows, start, size)
-        now = np.where(is2, p2, p1).astype(np.int64)
-        rest = np.flatnonzero(escape)
-        if rest.size:
-            cdf, each = model.classes[rest], np.arange(len(rest))
-            kind = np.minimum((cdf[:, 1:16] <= source.target(rest)[:, None]).sum(1), _CLASS[BLOCK - 1])
-            start = cdf[each, kind]
-            source.take(rest, start, cdf[each, kind + 1] - start)
-            model.learn_class(rest, cdf, kind)
-            value = np.minimum(kind, 1)
-            more = np.flatnonzero(kind > 1)
-            if more.size:
-                bits = kind[more] - 1
-                low = source.target(rest[more]) >> 15 - bits
-                source.take(rest[more], low << 15 - bits, 1 << 15 - bits)
-                value[more] = low + (1 << bits)
-            now[rest] = value
-        model.update(n, now)
-        place[t, :n] = now
-    ids = np.take_along_axis(names, np.minimum(place.T, BLOCK - 1), axis=1).ravel()[:total].astype("<u4")
+    place, ends = np.zeros((BLOCK, blocks), np.int16), (1 << _BITS) - 1
+    for t in range(steps):
+        if t == tail and t and blocks > 1:
+            model.keep(blocks - 1)
+            source.keep(blocks - 1)
+        p2, first2, p1, both = model.predict()
+        unit = source.range >> 15
+        to2, to1 = first2 * unit, both * unit
+        is2, rest = source.code < to2, source.code >= to1
+        start = np.where(rest, to1, to2 * ~is2)
+        code, width = source.code - start, np.where(rest, unit << 15, np.where(is2, to2, to1)) - start
+        unit = width >> 15
+        kind = (model.borders[:, : len(code)] <= np.minimum(code // unit, _TOTAL - 1).astype(np.int16)).view(np.int8)
+        kind = kind.sum(0, dtype=np.int8).astype(np.int64)
+        escapes = rest.astype(np.int64)
+        start, size = model.interval(kind, escapes)
+        code -= start * unit * escapes
+        width = np.where(rest, size * unit, width) >> _BITS.take(kind) * escapes
+        inside = np.minimum(code // width, ends.take(kind)) * escapes
+        source.code, source.range = np.minimum(code - inside * width, width - 1), width  # less only in broken blocks
+        now = np.where(rest, _BASE.take(kind) + inside, np.where(is2, p2, p1))
+        source.fill()
+        model.update(now)
+        place[t, : len(now)] = now
+    ids = np.concatenate([mine.take(at, mode="clip") for mine, at in zip(names, place.T.copy())])[:total]
     for b, expected in enumerate(sums):
-        if zlib.crc32(ids[b * BLOCK : (b + 1) * BLOCK].tobytes()) != expected:
+        if zlib.crc32(ids[b * BLOCK : (b + 1) * BLOCK]) != expected:
             raise ValueError(f"block {b} does not match its checksum")
     return ids
 
@@ -364,7 +429,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for f in batch.to_pylist():
+            for f in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 ends = np.cumsum(f["block_bytes"])
                 coded = [f["blocks"][e - n : e] for e, n in zip(ends, f["block_bytes"])]
                 ids = memoryview(decode_blocks(coded, f["n_ids"], f["block_sums"]).tobytes())
